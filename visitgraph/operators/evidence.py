@@ -11,13 +11,11 @@ from visitgraph.functions import text as X
 
 def model_evidence_key(c: Column) -> Column:
     """A model by name where only exact names count, else its group."""
-    m = X.model(c)
-    return F.when(m.isin(*M.EXACT_ONLY), X.label_key(m)).otherwise(X.key(X.model_group(m)))
+    return X.bind(X.model(c), lambda m: F.when(m.isin(*M.EXACT_ONLY), X.label_key(m)).otherwise(X.key(X.model_group(m))))
 
 
 def confirmed_model(c: Column) -> Column:
-    x = X.inspect_model(c)
-    return F.when(x["status"] == "confirmed", x["canonical"]).otherwise("")
+    return X.bind(X.inspect_model(c), lambda x: F.when(x["status"] == "confirmed", x["canonical"]).otherwise(""))
 
 
 FIELDS = {
