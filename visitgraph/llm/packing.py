@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+import unicodedata
 from collections import deque
 from collections.abc import Iterator
 
@@ -15,37 +17,50 @@ END = 1
 #: What a cut costs, in tokens of padding: between documents nothing, after a sentence little, inside one more.
 SENTENCE_CUT, WORD_CUT = 2.0, 12.0
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_SIGNS = re.compile(r"[^\w\s.,]|[.,][.,]|_|[^\x00-ɏ]")
+#: Bytes of texts whose words can be told apart without a look at their neighbours: letters up to U+01FF, digits, white
+#: space, full stops and commas. Texts with anything else take the plain way.
+_EASY = bytes(b for b in range(256) if chr(b).isascii() and (chr(b).isalnum() or chr(b) in " \t\n\r\v\f.,") or 0x80 <= b <= 0xBF or 0xC3 <= b <= 0xC7)
+_HARD = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
 
 
 class Encoder:
     """Token ids of whole texts by a tokenizer file that treats white-space-separated words apart.
 
-    Ids of a word are remembered (up to ``room`` words, then afresh), as most words of a corpus recur. Texts whose only
-    signs are single full stops and commas get those set apart first, which leaves more words equal.
+    Ids of a word are remembered (up to ``room`` words, then afresh), as most words of a corpus recur. Easy texts get
+    their full stops and commas set apart first, which leaves more words equal; a word of letters alone needs no more
+    than the model's merges.
     """
 
-    def __init__(self, path: str, room: int = 600_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, room: int = 1_200_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.room, self.known = Tokenizer.from_file(path), room, {}
-        self.tokenizer.encode_special_tokens = True
+        self.room, self.known = room, {}
+        self.whole, self.letters = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = self.letters.encode_special_tokens = True
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def words(self, text: str) -> list[str]:
+        raw = text.encode("utf-8", "surrogatepass")
+        if not raw.translate(None, _EASY) and not any(x in raw for x in _HARD):
+            return text.lower().replace(".", " . ").replace(",", " , ").split()
+        return re.split(r"[\x20\t\n\r\x0b\x0c]+", text)
 
     def encode(self, text: str | None) -> np.ndarray:
-        text = text or ""
-        plain = text.isprintable() or not set(text) & set("\x1c\x1d\x1e\x1f\x85\xa0")
-        if plain and not _SIGNS.search(text):
-            text = text.lower().replace(".", " . ").replace(",", " , ")
-        ws = re.split(r"[\x20\t\n\r\x0b\x0c]+", text) if not plain else text.split()
-        known = self.known
-        new = list({w for w in ws if w not in known})
-        if new:
-            if len(known) + len(new) > self.room:
-                known.clear()
-                new = list(set(ws))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        return np.fromiter((i for w in ws for i in known[w]), np.uint32)
+        ws = self.words(text or "")
+        parts = list(map(self.known.get, ws))
+        if None in parts:
+            new = {w for w, x in zip(ws, parts, strict=True) if x is None}
+            if len(self.known) + len(new) > self.room:
+                self.known.clear()
+                new = set(ws)
+            plain = [w for w in new if w.isalpha() and w == w.lower() and unicodedata.is_normalized("NFC", w)]
+            for how, some in ((self.letters, plain), (self.whole, list(new.difference(plain)))):
+                for w, e in zip(some, how.encode_batch(some, add_special_tokens=False), strict=True):
+                    self.known[w] = np.array(e.ids, "<u4").tobytes()
+            parts = list(map(self.known.get, ws))
+        return np.frombuffer(b"".join(parts), "<u4")
 
 
 def cuts(ends: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
@@ -54,22 +69,24 @@ def cuts(ends: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
     ``kinds`` is what a cut there costs. Windows hold at most ``size`` tokens; a window of n tokens is padded by
     size - n, or not at all where n is a power of two. cost[j] = min over i in reach of cost[i] + padding + kinds[j]:
     as padding is linear, the best i is the least of cost[i] + ends[i], kept at the head of a monotone queue, so each
-    position enters and leaves once; the powers of two are looked up besides. Consecutive candidates are at most
+    position enters and leaves once. Near the stream's end the powers of two are looked up besides. Consecutive candidates are at most
     ``size`` apart.
     """
     at = {0: 0}
     pos, cost, back = [0], [0.0], [-1]
     queue: deque[int] = deque([0])
     powers = [1 << k for k in range(size.bit_length()) if 1 << k < size]
+    end = int(ends[-1])
     for j, (e, k) in enumerate(zip(ends.tolist(), kinds.tolist()), 1):
         while e - pos[queue[0]] > size:
             queue.popleft()
         i = queue[0]
         best = cost[i] + size - (e - pos[i])
-        for p in powers:
-            x = at.get(e - p)
-            if x is not None and cost[x] < best:
-                best, i = cost[x], x
+        if end - e < size:
+            for p in powers:
+                x = at.get(e - p)
+                if x is not None and cost[x] < best:
+                    best, i = cost[x], x
         best += k
         pos.append(e)
         cost.append(best)
@@ -88,24 +105,22 @@ def cuts(ends: np.ndarray, kinds: np.ndarray, size: int) -> list[int]:
 
 def candidates(ids: list[np.ndarray], stops: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Where windows may end: after documents and sentences, every 64 tokens in a stretch without either, and at the
-    powers of two before the stream's end."""
+    powers of two before the stream's end. ``stops`` tells which ids end a sentence."""
     flat = np.concatenate(ids)
     docs = np.cumsum([len(x) for x in ids])
-    sentences = np.flatnonzero(np.isin(flat, stops)) + 1
     end = int(docs[-1])
-    tail, left = [], end % size
+    cost = np.full(end + 1, np.inf, np.float32)
+    left = end % size
     while left:
         left &= left - 1
-        tail.append(end - left) if left else None
-    own = np.unique(np.concatenate(([0], docs, sentences)))
-    gaps = np.flatnonzero(np.diff(own) > 64)
-    inner = [np.arange(own[g] + 64, own[g + 1], 64) for g in gaps]
-    every = np.unique(np.concatenate([docs, sentences, *inner, np.array(tail, np.int64)]).astype(np.int64))
-    every = every[every > 0]
-    kinds = np.full(len(every), WORD_CUT)
-    kinds[np.isin(every, sentences)] = SENTENCE_CUT
-    kinds[np.isin(every, docs)] = 0.0
-    return every, kinds
+        cost[end - left] = WORD_CUT
+    cost[1:][stops[flat]] = SENTENCE_CUT
+    cost[docs] = 0.0
+    own = np.concatenate(([0], np.flatnonzero(cost[1:] <= SENTENCE_CUT) + 1))
+    for g in np.flatnonzero(np.diff(own) > 64):
+        cost[own[g] + 64 : own[g + 1] : 64] = WORD_CUT
+    every = np.flatnonzero(np.isfinite(cost[1:])) + 1
+    return every, cost[every]
 
 
 def pack_block(doc_ids: list, ids: list[np.ndarray], stops: np.ndarray, size: int, first_sequence: int) -> Iterator[tuple]:
@@ -140,7 +155,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 2048, id_col: st
         from pyspark import TaskContext
 
         encoder = _encoder(tokenizer)
-        stops = np.array(sorted({int(i) for s in (". ", "! ", "? ", "!! ") for i in encoder.encode("a" + s)[1:]}), np.uint32)
+        stops = np.zeros(encoder.whole.get_vocab_size(), bool)
+        stops[[int(encoder.encode(s)[0]) for s in (".", "!", "?", "!!")]] = True
         sequence = TaskContext.get().partitionId() << 33
         names, ids, held = [], [], 0
 
