@@ -15,6 +15,8 @@ from visitgraph.llm.common import components, durable
 #: Values retained of each document, and the least overlap that two sketches of likeness 0.8 or more are taken to have.
 #: Of the 64 lowest values of the union each is shared with probability 0.8 or more: fewer than 31 has odds of 1e-9.
 K, LEAST = 64, 31
+#: The same for the few documents that are listed again; 166 is six standard deviations below 0.8 of 256.
+WIDE, WIDE_LEAST = 256, 166
 _P = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.ones(1, np.uint64)
 _BYTES = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
@@ -30,7 +32,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the ``width``-word shingles of a whole text, ASCII letters lower-cased.
+    """Sorted distinct 63-bit hashes (so their order is the same as signed numbers) of the ``width``-word shingles of a whole text, ASCII letters lower-cased.
 
     A word's hash is a polynomial over per-byte random numbers, taken from prefix sums, so one pass over the bytes
     serves all words. Fewer words than ``width`` make one shingle; none make none.
@@ -54,7 +56,7 @@ def shingle_hashes(text: str | None, width: int) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     for i in range(width):
         out = _mixed(out * _P + word[i : i + n])
-    return np.unique(out)
+    return np.unique(out >> np.uint64(1))
 
 
 def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
@@ -84,31 +86,33 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return d.mapInPandas(run, "id long, hashes array<long>")
 
 
-def postings(sets: DataFrame, likeness: float, k: int = K, least: int = LEAST) -> DataFrame:
-    """(v, id, n): the inverted lists, with only those retained values that can find a partner.
+def postings(sets: DataFrame, likeness: float, k: int, least: int) -> DataFrame:
+    """(v, id, n, rest): the inverted lists, with only those retained values that can find a partner.
 
-    Of each sketch, values are ranked from rare to common over the corpus. Two sketches with an overlap of o share one
-    of the first size - o + 1 of each, so only these prefixes are listed (o is ``least``, or for sets that the sketch
-    holds whole the exact overlap needed), and values found once are dropped. A passage, word pair or line common to
-    many documents is thus listed only for documents that hold little else.
+    Of each sketch, values are ranked from rare to common over ``sets``. Two sketches with an overlap of o share one of
+    the first size - o + 1 of each, so only these prefixes are listed (o is ``least``, or for sets that the sketch holds
+    whole the exact overlap needed), and values found once are dropped. A passage, word pair or line common to many
+    documents is thus listed only for documents that hold little else. ``rest`` is how many values of the sketch follow.
     """
-    flat = sets.select("id", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("v"))
+    flat = sets.select("id", F.explode("sketch").alias("v"))
     often = durable(flat.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"))
+    shared = flat.join(often, "v").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    d = shared.join(sets.select("id", "n"), "id")
     need = F.when(F.col("n") <= math.floor(k * likeness), F.ceil(F.col("n") * likeness - 1e-9)).otherwise(least)
-    shared = flat.join(often, "v").groupBy("id", "n", "m").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("vs"))
-    room = F.greatest(F.lit(0), (F.col("m") - need + 1) - (F.col("m") - F.size("vs"))).cast("int")
-    return shared.select("id", "n", F.explode(F.slice("vs", 1, room)).alias("x")).select(F.col("x.v").alias("v"), "id", "n")
+    size, shown = F.least(F.col("n"), F.lit(k)), F.size("vs")
+    room = F.greatest(F.lit(0), (size - need + 1) - (size - shown)).cast("int")
+    return d.select("id", "n", shown.alias("m"), F.posexplode(F.slice("vs", 1, room)).alias("at", "x")).select(F.col("x.v").alias("v"), "id", "n", (F.col("m") - F.col("at") - 1).alias("rest"))
 
 
-def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, percent: int, k: int = K) -> DataFrame:
+def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose union sketch says they may be alike and whose full sets have 100 * shared >= percent * all."""
     s = sets.select("id", "n", "sketch")
     d = pairs.join(s.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
     d = d.join(s.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
     shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     # six standard deviations below the threshold; exact where both sketches hold their whole sets
-    margin = F.when((F.col("na") <= k) & (F.col("nb") <= k), 0.0).otherwise(6 * math.sqrt(0.8 * 0.2 / k))
+    margin = F.when((F.col("na") <= K) & (F.col("nb") <= K), 0.0).otherwise(6 * math.sqrt(0.8 * 0.2 / K))
     d = durable(d.where(shared >= (percent / 100 - margin) * F.size(union) - 1e-9).select("a", "b"))
     ids = d.select(F.col("a").alias("id")).union(d.select("b")).distinct()
     full = durable(full_sets(docs, ids, width).groupBy("id").agg(F.min_by("hashes", F.size("hashes")).alias("hashes")))
@@ -117,47 +121,66 @@ def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, pe
     return durable(d.where(100 * same >= percent * (F.size("ha") + F.size("hb") - same)).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rounds: int = 3) -> DataFrame:
+def labelled(lists: DataFrame, label: DataFrame | None) -> DataFrame:
+    """``lists`` with each member's component ``c``; once there are components, only lists that hold two or more."""
+    if label is None:
+        return lists.withColumn("c", F.col("id"))
+    now = lists.join(label.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    mixed = now.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v", "lo")
+    return durable(now.join(durable(mixed), "v"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, leaders: int = 4) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 * |A and B| >= percent * |A or B| over their sets of ``width``-word shingles;
     component_id is the smallest doc_id reachable, kept tells whether it is the document's own.
 
-    Equal sets collapse first (by partial aggregation), so copies are never paired. Then inverted lists (see
-    ``postings``) give candidates. In each of ``rounds`` a list offers its members to one leader, a pair a member, and
-    confirmed links merge components; at last each list pairs what is still in different components, so no link
-    between components is lost, while a large group of near copies, one component by then, needs no pairs.
+    Equal sets collapse first (by partial aggregation), so copies are never paired. Then inverted lists (``postings``)
+    of sketches of ``K`` values give candidates. First each list offers its members to its smallest id, a pair a member,
+    and confirmed links merge components; then lists that still hold several components offer them to ``leaders`` of
+    the other components. What is still mixed after that is listed anew by sketches of ``WIDE`` values (most often whole
+    sets), where members of different components are paired whose remaining values can still make the overlap. So no
+    link between components is lost, while a large group of near copies, one component by then, needs no pairs.
 
     Texts without words, and null texts, are linked with nothing. Rows with a null doc_id have no name to be linked by:
     they keep a null component_id and are kept. Repeated rows share their result. Links are exact on full sets.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
+    likeness = percent / 100
     all_rows = durable(sketches(docs, width))
     named = all_rows.where("n > 0 AND doc_id IS NOT NULL")
     reps = durable(named.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")))
     sets = named.join(reps.withColumnRenamed("rep", "doc_id"), ["h1", "h2", "n", "doc_id"]).groupBy("doc_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     sets = durable(sets.withColumnRenamed("doc_id", "id"))
-    lists = durable(postings(sets, percent / 100))
+    lists = durable(postings(sets, likeness, K, LEAST))
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    edges, label = None, None
-    for r in range(rounds + 1):
-        now = lists.withColumn("c", F.col("id")) if label is None else lists.join(label.select(F.col("node").alias("id"), "component"), "id", "left").select("v", "id", "n", F.coalesce("component", "id").alias("c"))
-        if label is not None:
-            mixed = now.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("v")
-            now = durable(now.join(durable(mixed), "v", "left_semi"))
-        if r < rounds:
-            rank = F.struct(F.xxhash64("id", F.lit(r)), F.col("id"), F.col("n"), F.col("c")) if r else F.struct(F.col("id").alias("col1"), F.col("id"), F.col("n"), F.col("c"))
-            lead = durable(now.groupBy("v").agg(F.min(rank).alias("l")))
-            found = now.join(lead, "v").where((F.col("l.id") != F.col("id")) & (F.col("l.c") != F.col("c")) & fits(F.col("l.n"), F.col("n"))).select(F.col("l.id").alias("x"), F.col("id").alias("y"))
-        else:
-            other = now.select("v", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-            found = now.join(other, "v").where((F.col("x") < F.col("id")) & (F.col("cx") != F.col("c")) & fits(F.col("nx"), F.col("n"))).select("x", F.col("id").alias("y"))
+
+    def linked(found: DataFrame) -> DataFrame:
         pairs = durable(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        links = confirmed(docs, sets, pairs, width, percent)
-        if label is not None and links.isEmpty():
-            continue
-        edges = links if edges is None else edges.union(links)
-        label = components(edges)
+        return confirmed(docs, sets, pairs, width, percent)
+
+    def offered(now: DataFrame, lead: DataFrame) -> DataFrame:
+        return now.join(durable(lead), "v").where((F.col("l.id") != F.col("id")) & (F.col("l.c") != F.col("c")) & fits(F.col("l.n"), F.col("n"))).select(F.col("l.id").alias("x"), F.col("id").alias("y"))
+
+    now = labelled(lists, None)
+    edges = linked(offered(now, now.groupBy("v").agg(F.min(F.struct("id", "n", "c")).alias("l"))))
+    label = components(edges)
+
+    now = labelled(lists, label)
+    salted = [F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("salt"), "id", "n", "c")).alias(f"l{i}") for i in range(leaders)]
+    lead = now.where("c <> lo").groupBy("v").agg(*salted).select("v", F.explode(F.array_distinct(F.transform(F.array(*[f"l{i}" for i in range(leaders)]), lambda x: x.dropFields("salt")))).alias("l"))
+    edges = durable(edges.union(linked(offered(now, lead))))
+    label = components(edges)
+
+    left = labelled(lists, label).select("id").distinct()
+    wide = durable(full_sets(docs, left, width).groupBy("id").agg(F.max(F.struct(F.size("hashes").cast("long").alias("n"), F.slice("hashes", 1, WIDE).alias("sketch"))).alias("s")).select("id", "s.*"))
+    now = labelled(postings(wide, likeness, WIDE, WIDE_LEAST), label).select("v", "id", "n", "rest", "c")
+    other = now.select("v", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("rest").alias("rx"), F.col("c").alias("cx"))
+    enough = F.when(F.greatest("n", "nx") <= WIDE, F.ceil((F.col("n") + F.col("nx")) * (likeness / (1 + likeness)) - 1e-9)).when(F.least("n", "nx") <= WIDE, F.least(F.ceil(likeness * F.least("n", "nx")), F.lit(WIDE_LEAST))).otherwise(WIDE_LEAST)
+    found = now.join(other, "v").where((F.col("x") < F.col("id")) & (F.col("cx") != F.col("c")) & fits(F.col("nx"), F.col("n")) & (1 + F.least("rest", "rx") >= enough))
+    label = components(durable(edges.union(linked(found.select("x", F.col("id").alias("y"))))))
+
     reach = reps.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
     out = all_rows.select("doc_id", "n", "h1", "h2").join(reach, ["h1", "h2", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
