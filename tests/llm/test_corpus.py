@@ -256,6 +256,17 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty, width):
     assert {r["doc_id"] for r in minhash.drop_near_duplicates(d, width=width).collect()} == {r["doc_id"] for r in got if r["kept"]}
 
 
+def test_links_at_the_threshold_of_short_sets(spark):
+    texts = {}
+    # sets of 53 to 64 words with a union beyond the sketch: at 80 percent of it, just above, just below
+    for i, (a, b, shared) in enumerate([(64, 64, 57), (64, 62, 56), (63, 63, 56), (64, 53, 52), (59, 58, 52), (63, 63, 55)] * 4):
+        both, left, right = ([f"{side}{i}_{n}" for n in range(size)] for side, size in (("s", shared), ("a", a - shared), ("b", b - shared)))
+        texts |= {2 * i: " ".join(both + left), 2 * i + 1: " ".join(both + right)}
+    want = brute(texts, 1, 80)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(documents(spark, [(i, t, "a") for i, t in texts.items()]), width=1).collect()}
+    assert got == want and sum(i != c for i, c in want.items()) == 20
+
+
 def test_toxicity(spark, docs, empty):
     rng = np.random.default_rng(2)
     say = lambda bad: " ".join(rng.choice(WORDS, 60).tolist() + (["horridword", "vileterm"] if bad else [])) + " " + " ".join(rng.choice(WORDS, 9))

@@ -109,10 +109,12 @@ def confirmed(docs: DataFrame, sets: DataFrame, pairs: DataFrame, width: int, pe
     s = sets.select("id", "n", "sketch")
     d = pairs.join(s.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
     d = d.join(s.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, K)
+    # where both sketches hold their whole sets, their whole union is counted and the figure is exact
+    whole = (F.col("na") <= K) & (F.col("nb") <= K)
+    union = F.slice(F.array_sort(F.array_union("sa", "sb")), F.lit(1), F.when(whole, 2 * K).otherwise(K))
     shared = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    # six standard deviations below the threshold; exact where both sketches hold their whole sets
-    margin = F.when((F.col("na") <= K) & (F.col("nb") <= K), 0.0).otherwise(6 * math.sqrt(0.8 * 0.2 / K))
+    # elsewhere six standard deviations below the threshold
+    margin = F.when(whole, 0.0).otherwise(6 * math.sqrt(0.8 * 0.2 / K))
     d = durable(d.where(shared >= (percent / 100 - margin) * F.size(union) - 1e-9).select("a", "b"))
     ids = d.select(F.col("a").alias("id")).union(d.select("b")).distinct()
     full = durable(full_sets(docs, ids, width).groupBy("id").agg(F.min_by("hashes", F.size("hashes")).alias("hashes")))
