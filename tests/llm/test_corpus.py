@@ -106,6 +106,15 @@ def test_secrets(spark, empty):
     assert secrets.redact_secrets(empty).count() == 0
 
 
+def test_long_live_tokens(spark):
+    token = "".join(hashlib.sha256(str(i).encode()).hexdigest()[:4] + "Xq" for i in range(70))[:400]
+    d = documents(spark, [(1, f"session {token} end", "a"), (2, "x" * 200_000, "a")])
+    found, owned = secrets.scan_secrets(d, keep=["doc_id"])
+    assert [(r["doc_id"], x["s"], x["e"]) for r in found.collect() for x in r["added"]] == [(1, 8, 408)]
+    assert [(r["n_owners"], r["live"]) for r in owned.collect() if r["kind"] == "opaque"] == [(1, True)]
+    assert {r["doc_id"]: r["text"] for r in secrets.redact_secrets(d).collect()} == {1: "session [secret] end", 2: "x" * 200_000}
+
+
 def test_copied_secrets_are_examples(spark):
     d = documents(spark, [(i, "Qw3rTy7uIoP9aSdF2gHjK5", f"s{i}") for i in range(4)])
     found, owned = secrets.scan_secrets(d, keep=["doc_id"])

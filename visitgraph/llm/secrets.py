@@ -12,7 +12,7 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 #: Long opaque tokens that the base forms don't name; only ownership can tell whether they are live.
-OPAQUE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,200}+(?![A-Za-z0-9+/_-])"
+OPAQUE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -25,7 +25,7 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def opaque_spans(text: Column) -> Column:
-    """Tokens of 20 to 200 characters mixing lower case, upper case and digits evenly enough not to be words."""
+    """Tokens of 20 or more characters mixing lower case, upper case and digits evenly enough not to be words."""
     mixed = lambda m: m.rlike("[a-z]") & m.rlike("[A-Z]") & (F.length(F.regexp_replace(m, "[^0-9]", "")) >= 4) & (F.size(F.array_distinct(F.split(m, ""))) >= 12)
     return spans_of(text, OPAQUE, "opaque", mixed, text.rlike("[0-9]"))
 
