@@ -57,6 +57,14 @@ def test_personal_data_model(spark):
     assert pii.fit(d.limit(0)) is None
 
 
+def test_unusual_forms_are_added(spark):
+    forms = lambda i: {f"jane{i} [at] host.com", f"(555) 123-{4000 + i}", f"0049 30 12{100 + i}", "4111.1111.1111.1111"}
+    rows = [(i, f"write {' or '.join(sorted(forms(i)))} order 98765{43210 + i} total {7000000 + i} sum 1,234,567,890 base 10.0.0.{i} +1 (743) 555-{1000 + i}") for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: {x["m"] for x in r["added"]} for r in pii.find_personal_data(d, model=pii.fit(d)).collect()}
+    assert got == {i: forms(i) for i in range(60)}
+
+
 def test_url_verdicts(spark):
     html = '<link rel="canonical" href="{}"><p>x'
     rows = [(1, "http://A.example.net/en/x?q", None), (2, "https://b.net/y", ""), (3, "http://plain.io/a", html.format("http://spam.net/z")), (4, "http://plain.io/a#t", None), (5, None, "x"), (6, "nothing", None), (7, "http://ok.io/", html.format("http://w.org/fr/1")), (8, "http://both.io/", '<meta http-equiv="refresh" content="0; url=http://ok.io/">' + html.format("http://q.net/"))]

@@ -26,7 +26,7 @@ GENERATORS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+|00|\()?+[0-9](?:[\x20()./-]{0,2}+[0-9]){7,16}+(?![0-9])",
 }
 CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|addr|server", "card": "card|visa|amex|pay|credit", "phone": "tel|phone|call|fax|mobile"}
-FEATURES = ["kind_no", "digits", "seps", "width", "first", "before", "after", "cue", "plus", "doubled"]
+FEATURES = ["kind_no", "digits", "seps", "width", "first", "before", "after", "cue", "plus", "doubled", "zeros"]
 
 
 def luhn(m: Column) -> Column:
@@ -75,9 +75,28 @@ def features(x: Column, text: Column) -> dict[str, Column]:
         "cue": cue.cast("int"),
         "plus": m.startswith("+").cast("int"),
         "doubled": m.rlike(r"[^0-9A-Za-z]{2}").cast("int"),
+        "zeros": m.startswith("00").cast("int"),
     }
 
 
+def well_formed(x: Column) -> Column:
+    """Whether span ``x`` is personal data of its kind once written plainly: [at] as @, separators out, then the checks of the kind.
+
+    Only labels use this. IPs need one separator throughout and are no numbers grouped by thousands; phones need a
+    plus, 00 or a bracketed area code, as digits alone may count anything.
+    """
+    m = x["m"]
+    mail = F.regexp_replace(F.regexp_replace(m, r"\x20?[(\[]at[)\]]\x20?", "@"), "[._-]+$", "")
+    quad = m.rlike(r"^[0-9]+([.,:])[0-9]+\1[0-9]+\1[0-9]+$") & ~m.rlike("^[0-9]{1,3}(?:,[0-9]{3})+$")
+    dialled = F.regexp_replace(F.regexp_replace(m, "^00", ""), "[^0-9]", "")
+    return (
+        F.when(x["kind"] == "email", mail.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"))
+        .when(x["kind"] == "ip", quad & F.regexp_replace(m, "[,:]", ".").rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"))
+        .when(x["kind"] == "card", luhn(m))
+        .otherwise(m.rlike(r"^(?:\+|00[1-9]|\([0-9]{2,5}\))") & F.length(dialled).between(9, 15))
+    )
+
+
 def _tree(lines: list[str]) -> tuple | float:
     """One tree of a model's debug text as nested (feature, limit, yes, no)."""
     line = lines.pop(0).strip()
@@ -104,35 +123,39 @@ def margin(trees: list[tuple[float, tuple | float]], f: Column) -> Column:
     return total
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = 12, depth: int = 3, precision: float = 0.97, seed: int = 7) -> tuple[list, dict[str, float]] | None:
-    """Boosted trees over all candidates of ``docs``: (weighted trees, threshold by kind).
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = 12, depth: int = 3, precision: float = 0.97, seed: int = 7) -> tuple[dict[str, list], dict[str, float]] | None:
+    """Boosted trees over all candidates of ``docs``: (weighted trees by kind, threshold by kind).
 
-    Labels are the base formats: a candidate whose span is a base span of its kind counts as personal data. Every
-    feature has a few whole values, so candidates are first counted by (features, label); trees are fitted with these
+    Each kind has trees of its own, as the same digits may be a card and no phone.
+
+    A candidate counts as personal data if its span is a base span of its kind or it is ``well_formed``. Every feature has a few whole values, so candidates are first counted by (features, label, overlap); trees are fitted with these
     counts as weights on at most a few thousand rows, whatever the size of the corpus. The threshold of a kind is the
-    lowest margin at which at least ``precision`` of its candidates are personal data. None without both labels.
+    lowest margin at which at least ``precision`` of the candidates that could be added (those that overlap no base span)
+    are personal data. None without both labels.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
     base = F.concat(*base_spans(F.col("t")).values())
     rows = docs.select(t.alias("t")).where("t rlike '[0-9@]|[(\\\\[]at[)\\\\]]'").select("t", base.alias("b"), F.explode(candidate_spans(F.col("t"))).alias("x"))
-    label = F.exists("b", lambda y: (y["s"] == F.col("x.s")) & (y["e"] == F.col("x.e")) & (y["kind"] == F.col("x.kind")))
+    label = F.exists("b", lambda y: (y["s"] == F.col("x.s")) & (y["e"] == F.col("x.e")) & (y["kind"] == F.col("x.kind"))) | well_formed(F.col("x"))
+    free = ~F.exists("b", lambda y: (y["s"] < F.col("x.e")) & (F.col("x.s") < y["e"]))
     f = features(F.col("x"), F.col("t"))
-    counts = rows.select(*[c.cast("int").alias(n) for n, c in f.items()], label.cast("double").alias("label")).groupBy(*FEATURES, "label").agg(F.count("*").cast("double").alias("n"))
+    counts = rows.select(*[c.cast("int").alias(n) for n, c in f.items()], label.cast("double").alias("label"), free.alias("free")).groupBy(*FEATURES, "label", "free").agg(F.count("*").cast("double").alias("n"))
     table = counts.collect()
     if len({r["label"] for r in table}) < 2:
         return None
     small = docs.sparkSession.createDataFrame(sorted(table), counts.schema).coalesce(1)
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(small)
-    model = GBTClassifier(labelCol="label", weightCol="n", maxIter=rounds, maxDepth=depth, maxBins=32, stepSize=0.3, seed=seed).fit(data)
-    trees = [(w, _tree(t.toDebugString.splitlines()[1:])) for w, t in zip(model.treeWeights, model.trees, strict=True)]
-    scored = small.select("*", F.struct(*FEATURES).alias("f")).select("kind_no", "label", "n", margin(trees, F.col("f")).alias("z")).collect()
-    cut = {}
+    trees, cut = {}, {}
     for i, kind in enumerate(KINDS):
+        mine, trees[kind] = small.where(F.col("kind_no") == i), []
+        if len({r["label"] for r in table if r["kind_no"] == i}) == 2:
+            data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(mine)
+            model = GBTClassifier(labelCol="label", weightCol="n", maxIter=rounds, maxDepth=depth, maxBins=32, stepSize=0.3, seed=seed).fit(data)
+            trees[kind] = [(w, _tree(t.toDebugString.splitlines()[1:])) for w, t in zip(model.treeWeights, model.trees, strict=True)]
+        scored = mine.select("*", F.struct(*FEATURES).alias("f")).where("free").select("label", "n", margin(trees[kind], F.col("f")).alias("z")).collect()
         good = total = 0.0
         by_score: dict[float, list] = {}
         for r in scored:
-            if r["kind_no"] == i:
-                by_score.setdefault(round(r["z"], 9), []).append(r)
+            by_score.setdefault(round(r["z"], 9), []).append(r)
         for z in sorted(by_score, reverse=True):
             good += sum(r["n"] for r in by_score[z] if r["label"])
             total += sum(r["n"] for r in by_score[z])
@@ -141,7 +164,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = 12, depth: int =
     return trees, cut
 
 
-def find_personal_data(docs: DataFrame, text_col: str = "text", model: tuple[list, dict[str, float]] | None = None) -> DataFrame:
+def find_personal_data(docs: DataFrame, text_col: str = "text", model: tuple[dict[str, list], dict[str, float]] | None = None) -> DataFrame:
     """``docs`` with ``base`` and ``added``: arrays of struct(s, e, kind, m) of personal data in the whole text.
 
     ``base`` holds the fixed formats. ``added`` holds candidates whose boosted margin reaches their kind's threshold
@@ -157,11 +180,15 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", model: tuple[lis
     trees, cut = model
 
     def taken(x: Column) -> Column:
-        f = F.transform(F.array(F.struct(*[c.cast("int").alias(n) for n, c in features(x, text).items()])), lambda f: margin(trees, f))
-        z = F.element_at(f, 1)
-        ok = F.lit(False)
-        for k, v in cut.items():
-            ok = ok | ((x["kind"] == k) & (z >= v))
+        inputs = F.array(F.struct(*[c.cast("int").alias(n) for n, c in features(x, text).items()]))
+
+        def reached(f: Column) -> Column:
+            ok = F.lit(False)
+            for k, v in cut.items():
+                ok = F.when(x["kind"] == k, margin(trees[k], f) >= v).otherwise(ok)
+            return ok
+
+        ok = F.element_at(F.transform(inputs, reached), 1)
         return ok & ~F.exists("base", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
 
     chosen = F.array_sort(F.transform(F.filter(candidate_spans(text), taken), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("o"), x["e"].alias("e"), x["kind"].alias("kind"), x["m"].alias("m"))))
