@@ -310,3 +310,27 @@ def test_pipeline_stages(spark):
     mixed = corpus_pipeline.STAGES[3][1](spark, masked, sf_dir)
     assert mixed.columns == docs.columns
     assert corpus_pipeline.STAGES[4][1](spark, mixed, sf_dir).count() >= mixed.count()
+
+
+def test_long_lists_are_cut_without_loss(spark, monkeypatch):
+    """Bands, second values and blocks, with limits so low that small groups pass through all of them."""
+    monkeypatch.setattr(minhash, "HOT", 8)
+    rng = np.random.default_rng(11)
+    base, texts = [f"b{i}" for i in range(90)], {}
+    for i in range(60):  # one large group of near copies around a common text, some beyond the threshold
+        words = list(base)
+        for k in rng.choice(90, int(rng.integers(0, 12)), replace=False):
+            words[k] = f"n{i}_{k}"
+        texts[i] = " ".join(words)
+    for i in range(60, 100):  # unrelated texts around one passage
+        texts[i] = " ".join(base[:9] + [f"o{i}_{n}" for n in range(int(rng.integers(5, 80)))])
+    d = documents(spark, [(i, t, "a") for i, t in texts.items()])
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(d, width=1).collect()}
+    assert got == brute(texts, 1, 80)
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = " ".join(WORDS), " ".join(f"z{i}" for i in range(60))
+    d = documents(spark, [(7, a, "a"), (7, b, "a"), (8, a + " more", "a"), (9, b + " more", "a"), (10, "other words here", "a")])
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(d, width=1).collect()}
+    assert got == {(7, 7, True), (8, 7, False), (9, 7, False), (10, 10, True)}
