@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitgraph.llm.common import join_spans, spans_of
+from visitgraph.llm.common import SPAN, apart, bound, clear_of, durable, join_spans, matches, spans_of, spent
 
 KINDS = ["email", "ip", "card", "phone"]
 # The same matches as the plain forms; possessive runs and look-behinds keep the search linear and off the stack.
@@ -20,10 +20,10 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{0,2})"
 #: High-recall generators: whatever looks a little like the kind. Their spans may overlap the base ones and each other.
 GENERATORS = {
-    "email": r"(?<![^\s<(\[\"',;:])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9._-]{3,64}+",
-    "ip": r"(?<![0-9A-Za-z])[0-9]{1,5}+(?:[.,:][0-9]{1,5}+){3,5}+",
-    "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}+[0-9]){10,20}+(?![0-9])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+|00|\()?+[0-9](?:[\x20()./-]{0,2}+[0-9]){7,16}+(?![0-9])",
+    "email": r"(?<![^\s<(\[\"',;:])[A-Za-z0-9._%+-]++(?:@|\x20?[(\[]at[)\]]\x20?)[A-Za-z0-9._-]{3,}+",
+    "ip": r"(?<![0-9A-Za-z])[0-9]++(?:[.,:][0-9]++){3,}+",
+    "card": r"(?<![0-9])[0-9](?:[\x20./-]{0,2}+[0-9]){10,}+(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+|00|\()?+[0-9](?:[\x20()./-]{0,2}+[0-9]){7,}+(?![0-9])",
 }
 CUES = {"email": "mail|contact|write|reach", "ip": "ip|host|addr|server", "card": "card|visa|amex|pay|credit", "phone": "tel|phone|call|fax|mobile"}
 FEATURES = ["kind_no", "digits", "seps", "width", "first", "before", "after", "cue", "plus", "doubled", "zeros"]
@@ -50,16 +50,18 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def candidate_spans(text: Column) -> Column:
-    """All generators' spans; they may overlap."""
+    """All generators' spans, struct(s, e, kind, m, b, a) with the text just before and after; they may overlap."""
     gates = {"email": text.rlike(r"@|[(\[]at[)\]]")}
     numeric = text.rlike("[0-9]")
-    return F.concat(*[spans_of(text, g, k, lambda m: F.lit(True), gates.get(k, numeric)) for k, g in GENERATORS.items()])
+    none = F.expr("cast(array() as array<struct<s:int,e:int,kind:string,m:string,b:string,a:string>>)")
+    of = lambda kind, g: F.transform(matches(text, g), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"), x["m"].alias("m"), x["b"].alias("b"), x["a"].alias("a")))
+    return F.concat(*[F.when(gates.get(k, numeric), of(k, g)).otherwise(none) for k, g in GENERATORS.items()])
 
 
-def features(x: Column, text: Column) -> dict[str, Column]:
-    """Small whole numbers describing format and context of span ``x``; the format checks themselves stay out."""
-    m, before = x["m"], F.lower(F.substr(text, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24))))
-    left, right = F.substr(text, x["s"], F.least(x["s"], F.lit(1))), F.substr(text, x["e"] + 1, F.lit(1))
+def features(x: Column) -> dict[str, Column]:
+    """Small whole numbers describing format and context of candidate ``x``; the format checks themselves stay out."""
+    m, before = x["m"], F.lower(x["b"])
+    left, right = F.right(x["b"], F.lit(1)), x["a"]
     side = lambda c: F.when(c == "", 0).when(c.rlike(r"\s"), 1).when(c.rlike(r"[\p{L}\p{N}]"), 2).otherwise(3)
     cue = F.lit(False)
     for k, words in CUES.items():
@@ -126,41 +128,41 @@ def margin(trees: list[tuple[float, tuple | float]], f: Column) -> Column:
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = 12, depth: int = 3, precision: float = 0.97, seed: int = 7) -> tuple[dict[str, list], dict[str, float]] | None:
     """Boosted trees over all candidates of ``docs``: (weighted trees by kind, threshold by kind).
 
-    Each kind has trees of its own, as the same digits may be a card and no phone.
-
-    A candidate counts as personal data if its span is a base span of its kind or it is ``well_formed``. Every feature has a few whole values, so candidates are first counted by (features, label, overlap); trees are fitted with these
-    counts as weights on at most a few thousand rows, whatever the size of the corpus. The threshold of a kind is the
-    lowest margin at which at least ``precision`` of the candidates that could be added (those that overlap no base span)
-    are personal data. None without both labels.
+    Each kind has trees of its own, as the same digits may be a card and no phone. A candidate counts as personal data
+    if it is ``well_formed``. Every feature has a few whole values, so candidates are first counted by (features, label,
+    overlap, fold), whatever the size of the corpus; trees are fitted with these counts as weights. Candidates of one
+    text in five, by its hash, are held out of the fit: the threshold of a kind is the lowest margin (to two
+    decimals) at which at least ``precision`` of the held-out candidates that could be added (those clear of base spans)
+    are personal data; a kind without any adds nothing. None without both labels.
     """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    base = F.concat(*base_spans(F.col("t")).values())
-    rows = docs.select(t.alias("t")).where("t rlike '[0-9@]|[(\\\\[]at[)\\\\]]'").select("t", base.alias("b"), F.explode(candidate_spans(F.col("t"))).alias("x"))
-    label = F.exists("b", lambda y: (y["s"] == F.col("x.s")) & (y["e"] == F.col("x.e")) & (y["kind"] == F.col("x.kind"))) | well_formed(F.col("x"))
-    free = ~F.exists("b", lambda y: (y["s"] < F.col("x.e")) & (F.col("x.s") < y["e"]))
-    f = features(F.col("x"), F.col("t"))
-    counts = rows.select(*[c.cast("int").alias(n) for n, c in f.items()], label.cast("double").alias("label"), free.alias("free")).groupBy(*FEATURES, "label", "free").agg(F.count("*").cast("double").alias("n"))
-    table = counts.collect()
-    if len({r["label"] for r in table}) < 2:
+    d = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t")).where("t rlike '[0-9@]|[(\\\\[]at[)\\\\]]'")
+
+    def judged(p: Column) -> Column:
+        free = F.transform(clear_of(p["all"], p["base"]), lambda x: F.struct(x.alias("x"), F.lit(True).alias("free")))
+        return F.concat(free, F.transform(F.array_except(p["all"], F.transform(free, lambda y: y["x"])), lambda x: F.struct(x.alias("x"), F.lit(False).alias("free"))))
+
+    found = d.select((F.pmod(F.xxhash64("t"), F.lit(5)) == 0).alias("held"), F.explode(bound(F.struct(candidate_spans(F.col("t")).alias("all"), F.concat(*base_spans(F.col("t")).values()).alias("base")), judged)).alias("y"))
+    x = F.col("y.x")
+    counts = found.select(*[c.cast("int").alias(n) for n, c in features(x).items()], well_formed(x).cast("double").alias("label"), F.col("y.free").alias("free"), "held")
+    counts = durable(counts.groupBy(*FEATURES, "label", "free", "held").agg(F.count("*").cast("double").alias("n")))
+    both = {(r["kind_no"], r["label"]) for r in counts.where("NOT held").select("kind_no", "label").distinct().collect()}
+    if len({label for _, label in both}) < 2:
         return None
-    small = docs.sparkSession.createDataFrame(sorted(table), counts.schema).coalesce(1)
     trees, cut = {}, {}
     for i, kind in enumerate(KINDS):
-        mine, trees[kind] = small.where(F.col("kind_no") == i), []
-        if len({r["label"] for r in table if r["kind_no"] == i}) == 2:
-            data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(mine)
+        mine, trees[kind] = counts.where(F.col("kind_no") == i), []
+        if {(i, 0.0), (i, 1.0)} <= both:
+            data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(mine.where("NOT held").coalesce(1).sortWithinPartitions(*FEATURES, "label", "free"))
             model = GBTClassifier(labelCol="label", weightCol="n", maxIter=rounds, maxDepth=depth, maxBins=32, stepSize=0.3, seed=seed).fit(data)
             trees[kind] = [(w, _tree(t.toDebugString.splitlines()[1:])) for w, t in zip(model.treeWeights, model.trees, strict=True)]
-        scored = mine.select("*", F.struct(*FEATURES).alias("f")).where("free").select("label", "n", margin(trees[kind], F.col("f")).alias("z")).collect()
+        margins = F.floor(margin(trees[kind], F.struct(*FEATURES)) * 100).cast("long").alias("z")
+        held = mine.where("held AND free").groupBy(margins).agg(F.sum(F.col("n") * F.col("label")).alias("good"), F.sum("n").alias("n"))
         good = total = 0.0
-        by_score: dict[float, list] = {}
-        for r in scored:
-            by_score.setdefault(round(r["z"], 9), []).append(r)
-        for z in sorted(by_score, reverse=True):
-            good += sum(r["n"] for r in by_score[z] if r["label"])
-            total += sum(r["n"] for r in by_score[z])
+        for r in sorted(held.collect(), key=lambda r: -r["z"]):
+            good, total = good + r["good"], total + r["n"]
             if good >= precision * total:
-                cut[kind] = z - 1e-6
+                cut[kind] = r["z"] / 100
+    spent(counts)
     return trees, cut
 
 
@@ -169,35 +171,30 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", model: tuple[dic
 
     ``base`` holds the fixed formats. ``added`` holds candidates whose boosted margin reaches their kind's threshold
     and that overlap no base span; where several overlap, the one that starts first (then the longest) stays.
-    Null and empty texts give empty arrays; columns of ``docs`` named base or added are replaced; repeated rows give repeated results; an empty table gives an empty one.
-    Work is row by row, without a shuffle, so hot sources and very long texts need no care.
+    Null and empty texts give empty arrays; columns of ``docs`` named base or added are replaced, all others stay;
+    repeated rows give repeated results; an empty table gives an empty one. Work is row by row, without a shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.withColumn("base", F.concat(*base_spans(text).values()))
-    nothing = F.expr("cast(array() as array<struct<s:int,e:int,kind:string,m:string>>)")
-    if model is None:
-        return base.withColumn("added", nothing)
-    trees, cut = model
-
-    def taken(x: Column) -> Column:
-        inputs = F.array(F.struct(*[c.cast("int").alias(n) for n, c in features(x, text).items()]))
-
-        def reached(f: Column) -> Column:
-            ok = F.lit(False)
-            for k, v in cut.items():
-                ok = F.when(x["kind"] == k, margin(trees[k], f) >= v).otherwise(ok)
-            return ok
-
-        ok = F.element_at(F.transform(inputs, reached), 1)
-        return ok & ~F.exists("base", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-
-    chosen = F.array_sort(F.transform(F.filter(candidate_spans(text), taken), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("o"), x["e"].alias("e"), x["kind"].alias("kind"), x["m"].alias("m"))))
-
-    def apart(acc: Column, x: Column) -> Column:
-        one = F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"), x["m"].alias("m")))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["e"] > x["s"]), acc).otherwise(F.concat(acc, one))
-
-    return base.withColumn("added", F.when(text.rlike(r"[0-9@]|[(\[]at[)\]]"), F.aggregate(chosen, nothing, apart)).otherwise(nothing))
+    nothing = F.expr(f"cast(array() as array<{SPAN}>)")
+    # both columns come from the given text, even if that is called base or added
+    base, added = F.concat(*base_spans(text).values()), nothing
+    if model is not None and model[1]:
+        trees, cut = model
+
+        def taken(x: Column) -> Column:
+            def reached(f: Column) -> Column:
+                ok = F.lit(False)
+                for k, v in cut.items():
+                    ok = F.when(x["kind"] == k, margin(trees[k], f) >= v).otherwise(ok)
+                return ok
+
+            return bound(F.struct(*[c.cast("int").alias(n) for n, c in features(x).items()]), reached)
+
+        def chosen(x: Column) -> Column:
+            return F.when(F.size(x) > 0, apart(clear_of(x, base))).otherwise(nothing)
+
+        added = F.when(text.rlike(r"[0-9@]|[(\[]at[)\]]"), bound(F.filter(candidate_spans(text), taken), chosen)).otherwise(nothing)
+    return docs.withColumns({"base": base, "added": added})
 
 
 def op1_pii(spark, sf_dir):
