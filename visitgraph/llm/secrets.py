@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitgraph.llm.common import durable, join_spans, redact, spans_of
+from visitgraph.llm.common import SPAN, bound, clear_of, durable, join_spans, private, redact, spans_of, spent
 
 KINDS = ["assign", "access", "hex", "opaque"]
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)"""
@@ -35,51 +35,73 @@ def value_of(x: Column) -> Column:
     return F.when(x["kind"] == "assign", F.regexp_extract(x["m"], ASSIGN, 1)).otherwise(x["m"])
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", repo_col: str = "source", owner_col: str = "source", copied_owners: int = 3, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Two durable tables: per row of ``docs`` its base spans, and per found secret its ownership.
+def unclaimed(text: Column, base: Column) -> Column:
+    """Opaque tokens of ``text`` that overlap none of ``base``, which is worked out only where there are any."""
+    return bound(opaque_spans(text), lambda x: F.when(F.size(x) > 0, clear_of(x, base)).otherwise(x))
 
-    The first has the ``keep`` columns, ``rid`` (a row number that tells repeated rows apart), ``base`` (array of
-    struct(s, e, kind, m)) and ``added`` (the opaque tokens that look live). The second has rid, kind, s, e, n_repos,
-    n_owners, n_rows and ``live``: a value seen with fewer than ``copied_owners`` owners is owner-specific; others are
-    widely copied examples. Opaque tokens overlapping a base span are left to it; live ones are added, copied ones not.
 
-    Null texts are empty, null repositories and owners count as one of their own. Values are hashed (SHA-256) before
-    any shuffle; distinct (hash, repository, owner) are pre-aggregated, so a secret copied into a third of all rows
-    is counted by partial sums. An empty table gives empty tables.
+def ownership(each: DataFrame, copied_owners: int) -> DataFrame:
+    """(h, n_repos, n_owners, n_rows, live) of hashed candidates ``each`` (h, repo, owner); null repositories and owners count as one of their own.
+
+    Distinct (hash, repository, owner) are pre-aggregated, so a secret copied into a third of all rows is counted by partial sums.
+    """
+    once = each.groupBy("h", "repo", "owner").agg(F.count("*").alias("n"))
+    named = lambda c: F.coalesce(F.col(c), F.lit("\0"))
+    by = once.groupBy("h").agg(F.count_distinct(named("repo")).alias("n_repos"), F.count_distinct(named("owner")).alias("n_owners"), F.sum("n").alias("n_rows"))
+    return by.withColumn("live", F.col("n_owners") < copied_owners)
+
+
+def repository() -> Column:
+    """A repository of ``documents``: the texts of one source in one language; the source is its owner."""
+    return F.concat_ws("/", "source", F.coalesce("lang", F.lit("?")))
+
+
+def scan_secrets(docs: DataFrame, text_col: str = "text", repo: Column | None = None, owner: Column | None = None, copied_owners: int = 3, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two durable tables: per row of ``docs`` its spans, and per found secret its ownership.
+
+    The first has the ``keep`` columns (named otherwise than the following), ``rid`` (a row number that tells repeated
+    rows apart), ``base`` (array of struct(s, e, kind, m)) and ``added`` (the opaque tokens that look live). The second
+    has rid, kind, s, e, m, n_repos, n_owners, n_rows and ``live``: a value seen with fewer than ``copied_owners``
+    owners is owner-specific; others are widely copied examples. Opaque tokens overlapping a base span are left to it;
+    live ones are added, copied ones not. ``repo`` and ``owner`` are columns of ``docs``, by default ``repository()`` and source.
+
+    Null texts are empty. Values are hashed (SHA-256) before they are shuffled for counting. Other columns of ``docs``
+    stay out. An empty table gives empty tables.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    repo, owner = repository() if repo is None else repo, F.col("source") if owner is None else owner
     base = F.concat(*base_spans(text).values())
-    clear = lambda x: ~F.exists("base", lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-    found = docs.select(*[F.col(c) for c in keep or []], F.col(repo_col).alias("_repo"), F.col(owner_col).alias("_owner"), text.alias("_text"), base.alias("base"))
-    found = found.withColumn("_maybe", F.filter(opaque_spans(F.col("_text")), clear)).drop("_text")
-    found = durable(found.withColumn("rid", F.monotonically_increasing_id()))
-    each = found.where("size(base) + size(_maybe) > 0").select("rid", "_repo", "_owner", F.explode(F.concat("base", "_maybe")).alias("x"))
-    each = each.select("rid", "_repo", "_owner", "x.kind", "x.s", "x.e", "x.m", F.sha2(value_of(F.col("x")), 256).alias("h"))
-    once = each.groupBy("h", "_repo", "_owner").agg(F.count("*").alias("n"))
-    by_hash = once.groupBy("h").agg(F.count_distinct(F.coalesce(F.col("_repo").cast("string"), F.lit("\0"))).alias("n_repos"), F.count_distinct(F.coalesce(F.col("_owner").cast("string"), F.lit("\0"))).alias("n_owners"), F.sum("n").alias("n_rows"))
-    owned = durable(each.join(durable(by_hash), "h").select("rid", "kind", "s", "e", "m", "n_repos", "n_owners", "n_rows", (F.col("n_owners") < copied_owners).alias("live")))
+    found = docs.select(*[F.col(c) for c in keep or []], F.monotonically_increasing_id().alias("rid"), repo.cast("string").alias("repo"), owner.cast("string").alias("owner"), text.alias("text"), base.alias("base"))
+    found = durable(found.withColumn("maybe", unclaimed(F.col("text"), F.col("base"))).drop("text"))
+    each = found.where("size(base) + size(maybe) > 0").select("rid", "repo", "owner", F.explode(F.concat("base", "maybe")).alias("x"))
+    each = durable(each.select("rid", "repo", "owner", "x.kind", "x.s", "x.e", "x.m", F.sha2(value_of(F.col("x")), 256).alias("h")))
+    owned = durable(each.join(durable(ownership(each, copied_owners)), "h").select("rid", "kind", "s", "e", "m", "n_repos", "n_owners", "n_rows", "live"))
     added = owned.where("kind = 'opaque' AND live").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind", "m"))).alias("added"))
-    nothing = F.expr("cast(array() as array<struct<s:int,e:int,kind:string,m:string>>)")
-    return found.drop("_repo", "_owner", "_maybe").join(added, "rid", "left").withColumn("added", F.coalesce("added", nothing)), owned
+    spent(each)
+    return found.drop("repo", "owner", "maybe").join(added, "rid", "left").withColumn("added", F.coalesce("added", F.expr(f"cast(array() as array<{SPAN}>)"))), owned
 
 
 def redact_secrets(docs: DataFrame, mask: str = "[secret]", copied_owners: int = 3) -> DataFrame:
-    """``docs`` (doc_id, text, lang, source, n_chars) with every base secret and every added live one masked.
+    """``docs`` (doc_id, text, lang, source, n_chars, ...) with every base secret and every added live one masked.
 
-    Rows are neither dropped nor added; n_chars follows the text, and a null text stays null. The added spans are found
-    by document and text, so equal rows are masked alike.
+    Rows are neither dropped nor added; n_chars, if there, follows the text, and a null text stays null; other columns
+    keep name and values, whatever their names. Only opaque tokens need counts over the corpus; the few live ones are
+    a table whose size is known when it meets the texts. Equal rows are masked alike.
     """
-    cols = docs.columns
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)))
-    found, _ = scan_secrets(keyed, copied_owners=copied_owners, keep=["_key"])
-    added = found.where("size(added) > 0").groupBy("_key").agg(F.first("added").alias("_added"))
-    spans = F.concat(F.concat(*base_spans(F.coalesce(F.col("text"), F.lit(""))).values()), F.coalesce(F.col("_added"), F.expr("cast(array() as array<struct<s:int,e:int,kind:string,m:string>>)")))
-    out = keyed.join(added, "_key", "left").withColumn("_new", redact(F.col("text"), spans, mask))
-    return out.select(*[F.col("_new").alias(c) if c == "text" else F.coalesce(F.length("_new").cast("long"), F.col("n_chars")).alias(c) if c == "n_chars" else F.col(c) for c in cols])
+    row, lives, new = private(docs, "row", "lives", "new")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    name = F.xxhash64("doc_id", F.sha2(text, 256))
+    maybe = docs.select(name.alias(row), F.col("source").cast("string").alias("owner"), repository().alias("repo"), F.explode(unclaimed(text, F.concat(*base_spans(text).values()))).alias("x"))
+    maybe = durable(maybe.select(row, "owner", "repo", "x", F.sha2("x.m", 256).alias("h")))
+    live = maybe.join(ownership(maybe, copied_owners).where("live").select("h"), "h")
+    live = durable(live.groupBy(row).agg(F.collect_set("x").alias(lives)))
+    spans = F.concat(F.concat(*base_spans(text).values()), F.coalesce(F.col(lives), F.expr(f"cast(array() as array<{SPAN}>)")))
+    out = docs.withColumn(row, name).join(live, row, "left").withColumn(new, redact(F.col("text"), spans, mask))
+    return out.select(*[F.col(new).alias(c) if c == "text" else F.when(F.col(new).isNull(), F.col(c)).otherwise(F.length(new).cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def op4_secrets(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     found, owned = scan_secrets(docs, keep=["doc_id"])
     tally = owned.groupBy("rid").agg(F.count_if(F.col("live")).alias("n_live"), F.count_if(~F.col("live")).alias("n_copied"), F.max("n_owners").alias("max_owners"))
     n = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
