@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitgraph.llm.common import WHITE
+from visitgraph.llm.common import WHITE, durable
 
 WIDTH = 5
 #: One shingle hash in SCALE is retained: those below 2^63 / (SCALE / 2), counted from the smallest long.
@@ -70,36 +70,39 @@ def fingerprint(docs: DataFrame, text_col: str = "text", width: int = WIDTH, sca
     return docs.withColumn("sketch", sketch(F.col(text_col), width, scale))
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_block: int = 8192, max_blocks: int = 8192) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_block: int = 1024, max_blocks: int = 65536) -> DataFrame:
     """(doc_id, text, next_text): the text of the row that follows by descending id, and the first one's after the last.
 
-    Ids are cut into blocks of about ``rows_per_block`` rows at approximate quantiles (at most ``max_blocks`` bounds,
-    all that the driver sees), so texts are shuffled once, to a window inside each block. Only the block's edge rows
-    travel further: each block's last row takes the first row of the nearest lower block. Equal ids are ordered by
-    text; null ids come last and null texts are kept as such, being empty.
+    Ids are cut into blocks of about ``rows_per_block`` rows at approximate quantiles (at most ``max_blocks`` bounds of
+    8 bytes, one array), so texts are shuffled once, to a window inside each block. Only the blocks'
+    edge rows travel further: each block's last row takes the first row of the next lower block. An id that spans
+    several quantiles is split among its blocks by a hash of the text. Equal ids are ordered by that hash, then by text;
+    null ids come last, likewise; null texts are kept as such, being empty. Other columns stay out.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n = d.where("doc_id IS NOT NULL").count()
-    blocks = max(1, min(max_blocks, -(-n // rows_per_block)))
-    cuts = d.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], max(10_000, 4 * blocks))).first()[0] if blocks > 1 else []
-    cuts, depth = sorted(set(cuts or [])), 0
-    while 2**depth <= len(cuts):
-        depth += 1
-    padded = F.lit(cuts + [2**63 - 1] * (2**depth - len(cuts)))
-    at = F.aggregate(F.lit([2**k for k in reversed(range(depth))] or [0]), F.lit(0), lambda lo, step: F.when((step > 0) & (F.element_at(padded, F.greatest(lo + step, F.lit(1))) <= F.col("doc_id")), lo + step).otherwise(lo))
-    d = d.withColumn("block", F.when(F.col("doc_id").isNull(), -1).otherwise(at).cast("int"))
-    order = "partition by block order by doc_id desc nulls last, text desc nulls last"
-    inside = d.select("*", F.expr(f"lead(struct(text)) over ({order})").alias("ahead"))
+    n, nulls = d.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    blocks, rest = max(1, min(max_blocks, -(-n // rows_per_block))), max(1, min(max_blocks, -(-nulls // rows_per_block)))
+    cuts = d.agg(F.array_sort(F.coalesce(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)] or [0.5], max(10_000, 4 * blocks)), F.expr("array(0L)"))).alias("cuts"))
+    steps = F.lit([2**k for k in reversed(range(blocks.bit_length() + 1))])
+
+    def below(value: Column, same: bool) -> Column:
+        """How many cuts are less than ``value``, or no more than it, by halving steps."""
+        at = lambda i: F.try_element_at("cuts", i)
+        fits = lambda i: F.coalesce(at(i) <= value if same else at(i) < value, F.lit(False))
+        return F.aggregate(steps, F.lit(0), lambda low, step: F.when(fits((low + step).cast("int")), (low + step).cast("int")).otherwise(low))
+
+    salt = F.xxhash64(F.coalesce("text", F.lit("")))
+    d = d.withColumn("cuts", durable(cuts).scalar()).withColumn("high", below(F.col("doc_id"), True)).withColumn("share", F.greatest(F.col("high") - below(F.col("doc_id"), False), F.lit(1)))
+    block = F.when(F.col("doc_id").isNull(), -1 - F.pmod(salt, F.lit(rest))).otherwise(F.col("high") - F.pmod(salt, F.col("share"))).cast("int")
+    d = d.select("doc_id", "text", block.alias("block"))
+    inside = d.select("*", F.expr("lead(struct(text)) over (partition by block order by doc_id desc nulls last, text desc nulls last)").alias("ahead"))
     edge = d.groupBy("block").agg(F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("i"), F.col("text").isNotNull().alias("k"), "text")).alias("top"))
-    edge = edge.select("block", F.struct(F.col("top.text")).alias("first"))
-    ids = sorted((r["block"] for r in edge.select("block").collect()), reverse=True)
-    after = {b: ids[(i + 1) % len(ids)] for i, b in enumerate(ids)}
-    if not ids:
-        return d.select("doc_id", "text", F.col("text").alias("next_text"))
-    follow = F.create_map(*[F.lit(x) for kv in after.items() for x in kv])
-    source = edge.withColumnRenamed("block", "to")
-    edge = d.select("block").distinct().withColumn("to", F.element_at(follow, F.col("block"))).join(source, "to").select("block", "first")
-    return inside.join(edge, "block").select("doc_id", "text", F.coalesce("ahead", "first")["text"].alias("next_text"))
+    edge = durable(edge.select("block", F.struct(F.col("top.text")).alias("first")))
+    turn = Window.partitionBy(F.lit(0)).orderBy(F.desc("block"))  # block numbers alone, at most two for each bound
+    names = edge.select("block")
+    after = names.select("block", F.coalesce(F.lead("block").over(turn), F.first("block").over(turn)).alias("to"))
+    follow = durable(after.join(edge.withColumnRenamed("block", "to"), "to").select("block", "first"))
+    return inside.join(follow, "block").select("doc_id", "text", F.coalesce("ahead", "first")["text"].alias("next_text"))
 
 
 def op5_fingerprints(spark, sf_dir):

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import bisect
 import struct
 import zlib
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from visitgraph.llm.common import private
 
 #: Magic bytes by type.
 MAGIC = {
@@ -80,13 +85,19 @@ def _gif(b: bytes, at: int):
     return None
 
 
-def _jpeg(b: bytes, at: int):
+def _after(marks: list[int], at: int) -> int:
+    """The first of sorted ``marks`` from ``at`` on, -1 without one."""
+    i = bisect.bisect_left(marks, at)
+    return marks[i] if i < len(marks) else -1
+
+
+def _jpeg(b: bytes, at: int, ends: list[int]):
     p = at + 2
     while p + 4 <= len(b) and b[p] == 0xFF:
         if b[p + 1] == 0xDA:
-            end = b.find(b"\xff\xd9", p)
+            end = _after(ends, p)
             return (end + 2 - at, p, end - p) if end > 0 else None
-        p += 2 + struct.unpack_from(">H", b, p + 2)[0]
+        p += 2 + max(2, struct.unpack_from(">H", b, p + 2)[0])
     return None
 
 
@@ -99,13 +110,13 @@ def _bmp(b: bytes, at: int):
     return (size, at + start, size - start) if fits and at + size <= len(b) and start + row * abs(height) == size else None
 
 
-def _pdf(b: bytes, at: int):
-    end = b.find(b"%%EOF", at)
+def _pdf(b: bytes, at: int, ends: list[int]):
+    end = _after(ends, at)
     return (end + 5 - at, at, end + 5 - at) if end > 0 and b[at + 5 : at + 6].isdigit() else None
 
 
-def _zip(b: bytes, at: int):
-    end = b.find(b"PK\x05\x06", at)
+def _zip(b: bytes, at: int, ends: list[int]):
+    end = _after(ends, at)
     return (end + 22 - at, at, end - at) if 0 < end <= len(b) - 22 else None
 
 
@@ -124,13 +135,17 @@ def _gzip(b: bytes, at: int):
 
 
 CHECKS = {"wav": _wav, "png": _png, "gif87": _gif, "gif89": _gif, "jpeg": _jpeg, "bmp": _bmp, "pdf": _pdf, "zip": _zip, "gzip": _gzip}
+#: What ends a medium whose header has no length; the same search finds these.
+ENDS = {"jpeg": b"\xff\xd9", "pdf": b"%%EOF", "zip": b"PK\x05\x06"}
 NAMES = {"gif87": "gif", "gif89": "gif"}
 
 
 def automaton(magic: dict[str, bytes] = MAGIC) -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
     for kind, m in magic.items():
-        a.add_word(m.decode("latin-1"), (kind, len(m)))
+        a.add_word(m.decode("latin-1"), (kind, len(m), False))
+    for kind, m in ENDS.items():
+        a.add_word(m.decode("latin-1"), (kind, len(m), True))
     a.make_automaton()
     return a
 
@@ -140,10 +155,12 @@ def sniff(blob: bytes | None, a: ahocorasick.Automaton) -> list[tuple]:
 
     Media inside media is listed too (its start lies within the outer one), so it can be carved.
     """
+    found, ends = [], {kind: [] for kind in ENDS}
+    for last, (kind, n, end) in a.iter((blob or b"").decode("latin-1")):
+        ends[kind].append(last - n + 1) if end else found.append((kind, last - n + 1))
     out = []
-    for last, (kind, n) in a.iter((blob or b"").decode("latin-1")):
-        at = last - n + 1
-        hit = CHECKS[kind](blob, at)
+    for kind, at in found:
+        hit = CHECKS[kind](blob, at, ends[kind]) if kind in ENDS else CHECKS[kind](blob, at)
         if hit:
             out.append((NAMES.get(kind, kind), at, *hit))
     return sorted(out)
@@ -151,7 +168,8 @@ def sniff(blob: bytes | None, a: ahocorasick.Automaton) -> list[tuple]:
 
 def sniff_media(df: DataFrame, blob_col: str, declared_col: str | None = None) -> DataFrame:
     """``df`` with ``media`` (array of struct(type, start, length, body, body_length), offsets in bytes from 0) and
-    ``type``: the type of the medium that begins the blob, else what ``declared_col`` declares, else null.
+    ``type``: the type of the medium that begins the blob. Where none does, what ``declared_col`` declares stays only if
+    it is a type that ``MAGIC`` can't tell; a declaration that the bytes contradict becomes null.
 
     Columns of these names are replaced. Null and empty blobs hold nothing. Row by row, Arrow batches in, no shuffle.
     """
@@ -164,14 +182,33 @@ def sniff_media(df: DataFrame, blob_col: str, declared_col: str | None = None) -
 
     out = df.withColumn("media", found(F.col(blob_col)))
     first = F.try_element_at(F.filter("media", lambda x: x["start"] == 0), F.lit(1))["type"]
-    return out.withColumn("type", F.coalesce(first, F.col(declared_col) if declared_col else F.lit(None).cast("string")))
+    known = [NAMES.get(k, k) for k in MAGIC]
+    said = F.when(~F.lower(F.col(declared_col)).isin(known), F.col(declared_col)) if declared_col else F.lit(None).cast("string")
+    return out.withColumn("type", F.coalesce(first, said))
 
 
 def carve(df: DataFrame, blob_col: str) -> DataFrame:
-    """One row per embedded medium of a sniffed table: the columns of ``df``, type, start and ``carved`` bytes."""
-    x = F.col("_x")
-    d = df.withColumn("_x", F.explode(F.filter("media", lambda m: m["start"] > 0)))
-    return d.withColumn("carved", F.substring(F.col(blob_col), x["start"].cast("int") + 1, x["length"].cast("int"))).withColumn("type", x["type"]).withColumn("start", x["start"]).drop("_x", "media")
+    """One row per embedded medium of a sniffed table: the columns of ``df`` but ``media``, with type, start and ``carved``
+    bytes (columns of these names are replaced)."""
+    (one,) = private(df, "one")
+    x = F.col(one)
+    d = df.withColumn(one, F.explode(F.filter("media", lambda m: m["start"] > 0)))
+    return d.withColumns({"carved": F.substring(F.col(blob_col), x["start"].cast("int") + 1, x["length"].cast("int")), "type": x["type"], "start": x["start"]}).drop(one, "media")
+
+
+@F.pandas_udf(StringType())
+def byte_profile(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """What bytes say of a medium: mean, entropy in bits, mean step between neighbours, and the shares of 16 equal ranges in thousandths."""
+
+    def one(b: bytes) -> str:
+        x = np.frombuffer(b or b"\0", np.uint8)
+        share = np.bincount(x, minlength=256) / x.size
+        p = share[share > 0]
+        step = np.abs(np.diff(x.astype(np.int16))).mean() if x.size > 1 else 0.0
+        return f"{x.mean():.3f},{-(p * np.log2(p)).sum() + 0.0:.3f},{step:.3f}," + ".".join(map(str, np.rint(share.reshape(16, 16).sum(axis=1) * 1000).astype(int)))
+
+    for part in parts:
+        yield part.map(one)
 
 
 def little(n: Column, size: int) -> Column:
@@ -203,4 +240,4 @@ def op8_media(spark, sf_dir):
     size = F.octet_length("payload")
     inner = F.transform(F.filter("media", lambda x: x["start"] > 0), lambda x: F.concat_ws(":", x["type"], x["start"], x["length"]))
     digest = F.sha2("payload", 256)
-    return d.select("doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), digest.alias("payload_sha256"), F.crc32(F.substring(F.col("payload"), F.greatest(size - 31, F.lit(1)), F.lit(32))).alias("tail_crc32"), F.octet_length("blob").cast("long").alias("media_bytes"), F.sha2("blob", 256).alias("media_sha256"), F.concat_ws(";", F.concat_ws(":", "type", F.lit("0"), whole["length"]), F.array_join(inner, ";")).alias("feature"))
+    return d.select("doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), digest.alias("payload_sha256"), F.crc32(F.substring(F.col("payload"), F.greatest(size - 31, F.lit(1)), F.lit(32))).alias("tail_crc32"), F.octet_length("blob").cast("long").alias("media_bytes"), F.sha2("blob", 256).alias("media_sha256"), F.concat_ws(";", F.concat_ws(":", "type", F.lit("0"), whole["length"]), F.array_join(inner, ";"), byte_profile("payload")).alias("feature"))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitgraph.llm.common import WORD, durable
+from visitgraph.llm.common import WORD, durable, private
 
 EPS = 1e-9
 
@@ -152,13 +152,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with each row as often as the mix takes it (none, once or more); columns unchanged.
 
     Rows meet their copies by a hash of id, text and source; the copies of equal rows are shared out among them.
+    Columns of ``docs`` keep names and values, whatever their names.
     """
-    cols, key = docs.columns, F.xxhash64("doc_id", "source", F.sha2("text", 256))
-    taken = mix(docs, key=key, **options).groupBy("key").agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows")).where("_all > 0")
-    d = docs.withColumn("_key", key).join(taken.withColumnRenamed("key", "_key"), "_key")
-    nth = F.when(F.col("_rows") == 1, 1).otherwise(F.row_number().over(Window.partitionBy("_key").orderBy("doc_id")))
-    d = d.withColumn("_n", F.floor(F.col("_all") / F.col("_rows")) + (nth <= F.col("_all") % F.col("_rows")).cast("int"))
-    return d.where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*cols)
+    key, every, rows, n, copy = private(docs, "key", "every", "rows", "n", "copy")
+    name = F.xxhash64("doc_id", "source", F.sha2("text", 256))
+    taken = mix(docs, key=name, **options).groupBy(F.col("key").alias(key)).agg(F.sum("copies").alias(every), F.count("*").alias(rows)).where(F.col(every) > 0)
+    d = docs.withColumn(key, name).join(taken, key)
+    nth = F.when(F.col(rows) == 1, 1).otherwise(F.row_number().over(Window.partitionBy(key).orderBy("doc_id")))
+    d = d.withColumn(n, F.floor(F.col(every) / F.col(rows)) + (nth <= F.col(every) % F.col(rows)).cast("int"))
+    return d.where(F.col(n) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*docs.columns)
 
 
 def op6_mixing(spark, sf_dir):

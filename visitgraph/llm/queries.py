@@ -26,7 +26,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-#: Link edges by the same patterns, reachability by recursion; rules and precedence as CASE.
+#: Link edges by tags and their attributes, reachability by recursion; rules and precedence as CASE.
 OP2 = r"""
 WITH RECURSIVE p AS (
  SELECT page_id, coalesce(html, '') AS html,
@@ -34,12 +34,21 @@ WITH RECURSIVE p AS (
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^#]*)', 1) AS rest FROM pages),
 q AS (SELECT page_id, html, host, path, CASE WHEN host <> '' THEN host || CASE WHEN rest = '' THEN '/' ELSE rest END END AS node FROM p),
-t AS (
- SELECT node, host, regexp_extract(m, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t
- FROM (SELECT node, host, unnest(regexp_extract_all(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>')) AS m FROM q)
- UNION ALL
- SELECT node, host, unnest(regexp_extract_all(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*\bcontent\s*=\s*["'']?[^"''>]*?\burl\s*=\s*([^"''\s>;]+)', 1)) FROM q),
-u AS (SELECT node AS a, CASE WHEN starts_with(t, '//') THEN 'x:' || t WHEN starts_with(t, '/') THEN 'x://' || host || t ELSE t END AS t FROM t WHERE node IS NOT NULL),
+tag AS (SELECT node, host, path, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS m FROM q WHERE node IS NOT NULL),
+attrs AS (SELECT node, host, path, m,
+ trim(replace(regexp_extract(m, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 1) || regexp_extract(m, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 2) || regexp_extract(m, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 3), '&amp;', '&')) AS rel,
+ trim(replace(regexp_extract(m, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 1) || regexp_extract(m, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 2) || regexp_extract(m, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 3), '&amp;', '&')) AS href,
+ trim(replace(regexp_extract(m, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 1) || regexp_extract(m, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 2) || regexp_extract(m, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 3), '&amp;', '&')) AS equiv,
+ trim(replace(regexp_extract(m, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 1) || regexp_extract(m, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 2) || regexp_extract(m, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))', 3), '&amp;', '&')) AS content FROM tag),
+t AS (SELECT node, host, path,
+ CASE WHEN regexp_matches(m, '(?is)^<link\b') AND regexp_matches(lower(rel), '(?s)(^|\s)canonical(\s|$)') THEN href
+  WHEN regexp_matches(m, '(?is)^<meta\b') AND lower(equiv) = 'refresh' THEN regexp_replace(regexp_extract(content, '(?is)\burl\s*=\s*(.+)$', 1), '^["''\s]+|["''\s]+$', '', 'g') ELSE '' END AS t FROM attrs),
+way AS (SELECT node, host, t, string_split(CASE WHEN starts_with(t, '/') THEN '' WHEN starts_with(t, '?') OR starts_with(t, '#') THEN path
+  ELSE coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') END || regexp_extract(t, '(?s)^([^?#]*)', 1), '/') AS w FROM t WHERE t <> ''),
+folded AS (SELECT node, host, t, array_to_string(list_reduce(list_transform(w, lambda x: [x]),
+  lambda acc, x: CASE WHEN x[1] = '..' THEN acc[1:greatest(len(acc) - 1, 1)] WHEN x[1] = '.' THEN acc ELSE list_concat(acc, x) END), '/') AS f FROM way),
+u AS (SELECT node AS a, CASE WHEN regexp_matches(t, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'x:' || t
+  WHEN NOT regexp_matches(t, '(?s)^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'x://' || host || f || regexp_extract(t, '(?s)^[^?#]*(\?[^#]*)', 1) END AS t FROM folded),
 v AS (SELECT a, translate(regexp_extract(t, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h, regexp_extract(t, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS r FROM u),
 e AS (SELECT DISTINCT a, h || CASE WHEN r = '' THEN '/' ELSE r END AS b FROM v WHERE h <> ''),
 s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),

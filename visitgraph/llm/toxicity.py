@@ -84,7 +84,7 @@ def features(gains: np.ndarray) -> np.ndarray:
 
 
 def train(samples: list[bytes], size: int) -> bytes:
-    """A zstandard dictionary of at most ``size`` bytes; with too few samples for its trainer, the samples themselves."""
+    """A zstandard dictionary of at most ``size`` bytes; with too few samples for its trainer (it refuses them), the end of the samples themselves."""
     try:
         return zstandard.train_dictionary(size, samples, k=32, d=6, level=LEVEL).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -108,10 +108,11 @@ def distilled(texts: list[str | None], y: np.ndarray, ratio: float, least: int)
     return [b" " + b" ".join(ws) + b" " for ws in kept if ws]
 
 
-def fit(texts: list[str | None], labels: list[int], size: int = 64, dictionary: int = 4096, common: int = 8192, ratio: float = 20.0, least: int = 5, seed: int = 5) -> Model:
+def fit(texts: list[str | None], labels: list[int], size: int = 64, dictionary: int = 4096, common: int = 8192, ratio: float = 20.0, least: int = 5, seed: int = 5, max_windows: int = 20_000) -> Model:
     """The model from labelled texts (1 toxic).
 
-    The ordinary dictionary has at most ``common`` bytes trained on ordinary text. The toxic one has these too, and then
+    The ordinary dictionary has at most ``common`` bytes trained on ordinary text (at most ``max_windows`` windows of
+    it, drawn at random: a bound on the sample that is fitted, not on what is scored). The toxic one has these too, and then
     at most ``dictionary`` bytes trained on distilled toxic text. Every fifth text only calibrates: a
     logistic fit on its windows' gains gives weights and threshold.
     """
@@ -122,7 +123,7 @@ def fit(texts: list[str | None], labels: list[int], size: int = 64, dictionary:
     held = np.arange(len(texts)) % 5 == 4
     plain = [w for t, bad, h in zip(texts, y, held, strict=True) if not bad and not h for w in windows(t, 512)]
     order = np.random.default_rng(seed).permutation(len(plain))
-    plain = [plain[i] for i in order[:20000]]
+    plain = [plain[i] for i in order[:max_windows]]
     odd = distilled([t for t, h in zip(texts, held, strict=True) if not h], y[~held], ratio, least)
     base = train(plain, common)
     out = Model(base + train(odd, dictionary), base, size, (1, 1, 1, 0), 1.0, 0.0, prior)
