@@ -20,6 +20,8 @@ def confirmed_model(c: Column) -> Column:
 
 FIELDS = {
     "serial_candidates": ("serial", X.key),
+    "serial_visual_candidates": ("visual_serial", X.key),
+    "order_no": ("order_no", X.key),
     "hospital_raw": ("hospital_raw", lambda c: X.key(X.site(c))),
     "product_raw": ("product_raw", model_evidence_key),
     "product_model": ("product_raw", confirmed_model),

@@ -21,9 +21,9 @@ placed AS (SELECT h, CASE WHEN v IS NOT NULL THEN v WHEN regexp_full_match(core,
  FROM (SELECT *, list_filter(regexp_extract_all(upper(core), '[A-Z]+'), lambda x: x NOT IN ('THE', 'OF', 'AND')) AS w FROM places) LEFT JOIN sites ON sites.k = regexp_replace(upper(core), '[^A-Z0-9]', '', 'g')),
 modelled AS (SELECT g.label, CASE WHEN model IN ({_EXACT}) THEN regexp_replace(upper(model), '[^A-Z0-9+]', '', 'g') WHEN starts_with(array_to_string(w, ''), 'AFFINITI') THEN 'AFFINITI' WHEN starts_with(array_to_string(w, ''), 'EPIQ') THEN 'EPIQ' WHEN starts_with(array_to_string(w, ''), 'CX') THEN 'CX' WHEN length(w[1]) >= 2 THEN w[1] ELSE '' END AS k,
  coalesce(CASE WHEN models.m NOT IN ('EPIQ', 'Affiniti', 'CX') THEN models.m END, '') AS name FROM (SELECT label, model, list_filter(regexp_extract_all(upper(model), '[A-Z]+'), lambda x: x NOT IN ('PHILIPS', 'SYSTEM', 'ULTRASOUND')) AS w FROM grouped) g LEFT JOIN models ON models.k = regexp_replace(upper(g.label), '[^A-Z0-9+]', '', 'g')),
-keyed AS (SELECT * FROM (SELECT doc_id, round, page, source, unnest(['serial_candidates', 'hospital_raw', 'product_raw', 'product_model', 'phone_candidates', 'asset_candidates', 'contact_person_raw', 'service_date_raw']) AS field,
- unnest([serial, hospital_raw, product_raw, product_raw, phone, asset, contact_person_raw, service_date_raw]) AS raw,
- unnest([coalesce(serial, ''), coalesce(p.k, ''), m.k, m.name, phone, coalesce(asset, ''), lower(replace(contact_person_raw, ' ', '')), strftime(strptime(service_date_raw, '%d/%m/%Y'), '%Y-%m-%d')]) AS key
+keyed AS (SELECT * FROM (SELECT doc_id, round, page, source, unnest(['serial_candidates', 'serial_visual_candidates', 'order_no', 'hospital_raw', 'product_raw', 'product_model', 'phone_candidates', 'asset_candidates', 'contact_person_raw', 'service_date_raw']) AS field,
+ unnest([serial, visual_serial, order_no, hospital_raw, product_raw, product_raw, phone, asset, contact_person_raw, service_date_raw]) AS raw,
+ unnest([coalesce(serial, ''), coalesce(visual_serial, ''), coalesce(order_no, ''), coalesce(p.k, ''), m.k, m.name, phone, coalesce(asset, ''), lower(replace(contact_person_raw, ' ', '')), strftime(strptime(service_date_raw, '%d/%m/%Y'), '%Y-%m-%d')]) AS key
  FROM readings LEFT JOIN placed p ON p.h = hospital_raw LEFT JOIN modelled m ON m.label = product_raw) WHERE key <> '')"""
 
 

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("orders", "customer", "nation", "lineitem")
 PREFIX = """
 WITH d AS (
- SELECT o.o_orderkey AS k, o.o_custkey AS ck, o.o_orderstatus, o.o_orderdate, c.c_nationkey, n.n_name, l.l_partkey, l.l_suppkey,
+ SELECT DISTINCT o.o_orderkey AS k, o.o_custkey AS ck, o.o_orderstatus, o.o_orderdate, c.c_nationkey, n.n_name, l.l_partkey, l.l_suppkey,
         o.o_custkey*2 + (l.l_partkey % 2) AS dev
  FROM {orders} o
  JOIN {customer} c ON o.o_custkey = c.c_custkey
  JOIN {nation} n ON c.c_nationkey = n.n_nationkey
- JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey AND l.l_linenumber = 1),
+ JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey),
 work_parts AS (
  SELECT k, dev, l_partkey AS ord1, l_suppkey AS ord2, CAST(k AS VARCHAR(20)) AS gid,
   CASE c_nationkey % 5 WHEN 0 THEN CASE WHEN k % 6 = 0 THEN concat('GH', chr(65 + CAST(c_nationkey AS INT))) ELSE concat(n_name,' General Hospital') END WHEN 1 THEN 'QMH' WHEN 2 THEN 'PYN-3F'
@@ -46,9 +46,11 @@ readings AS (
   CASE WHEN (k + r) % 7 = 0 THEN concat(substr(phone,1,7),'0') ELSE phone END AS phone,
   CASE WHEN k % 4 = 0 THEN NULL ELSE asset END AS asset,
   contact AS contact_person_raw,
+  CASE WHEN serial <> '' AND (k + r) % 3 = 0 THEN serial END AS visual_serial,
+  CASE WHEN order_no <> '' AND (k + r) % 13 <> 0 THEN order_no END AS order_no,
   concat(lpad(CAST(day(due_on + CAST(k % 20 AS INT)) AS VARCHAR(2)),2,'0'),'/',lpad(CAST(month(due_on + CAST(k % 20 AS INT)) AS VARCHAR(2)),2,'0'),'/',CAST(year(due_on + CAST(k % 20 AS INT)) AS VARCHAR(4))) AS service_date_raw,
   due_on + 30 AS reference_day
- FROM first_parts CROSS JOIN rounds WHERE k % 3 = 0)
+ FROM first_parts CROSS JOIN rounds)
 """
 #: The same prefix with plain table names.
 DUCK = PREFIX.format(**{t: t for t in TABLES})
@@ -59,12 +61,12 @@ def _read(spark: SparkSession, sf_dir: str, what: str) -> DataFrame:
 
 
 def work_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(gid, ord1, ord2, k, dev, project_name, due_on, name, notes): one row per order and first line."""
+    """(gid, ord1, ord2, k, dev, project_name, due_on, name, notes): one row per order and distinct part and supplier of its lines."""
     return _read(spark, sf_dir, "work_records")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to four noisy readings of a third of the orders."""
+    """Four noisy readings of every order with lines."""
     return _read(spark, sf_dir, "readings")
 
 
