@@ -4,9 +4,9 @@ import hmac
 import pytest
 
 from tests.conftest import DATA
-from visitgraph.plans import batches, index, scalar, voting
+from visitgraph.plans import batches, index, matching, scalar, voting
 
-PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, batches) for name, f in plan.QUERIES.items() if name in plan.SQL}
+PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, matching, batches) for name, f in plan.QUERIES.items() if name in plan.SQL}
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitgraph.functions import text as X
-from visitgraph.operators.evidence import keyed, model_evidence_key
-from visitgraph.operators.index import device_index
+from visitgraph.operators.evidence import confirmed_model, keyed, model_evidence_key
+from visitgraph.operators.index import device_records, first_wins
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed into the folder that ``spark.checkpoint.dir`` names (a local session without it gets its own)."""
+    """``df`` written as Parquet into the folder that ``spark.checkpoint.dir`` names, which all executors share, and read back."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if not path and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{path.rstrip('/')}/linkage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def neighbours(s: Column) -> Column:
@@ -29,40 +29,43 @@ def neighbours(s: Column) -> Column:
     return F.array_distinct(F.concat(F.array(s), gone))
 
 
-def device_table(records: DataFrame) -> DataFrame:
-    """(device_key, serial, sites, models, phones, assets) of devices with a serial, as evidence keys.
+def record_facts(records: DataFrame) -> DataFrame:
+    """(gid, serial, site, model, model_name, phones, assets, contacts, job_type, due, order_no) of first-wins records with a serial, as evidence keys.
 
     Site and model keys are worked out on distinct labels only.
     """
-    d = device_index(records).where("NOT weak_identity").select("device_key", X.key(F.col("serial")).alias("serial"), F.concat("hospitals", "hospital_aliases").alias("h"), F.concat("variants", "products").alias("m"), "phones", "assets")
-    d = settled(d)  # read three times below
+    # written before it is filtered: pushed down, the filter would repeat all of the parsing
+    d = device_records(first_wins(records))
+    d = d.select("weak_identity", "parsed", "gid", X.key(F.col("serial")).alias("serial"), "location", "variant", "phones", "assets", F.transform("contacts", X.text_key).alias("contacts"), "job_type", F.to_date("due").alias("due"), X.order_number(F.col("name")).alias("order_no"))
+    d = settled(d).where("NOT weak_identity AND parsed").drop("weak_identity", "parsed")
+    places = d.select("location").distinct().withColumn("site", X.key(X.site(F.col("location"))))
+    variants = d.select("variant").distinct().withColumn("model", model_evidence_key(F.col("variant"))).withColumn("model_name", confirmed_model(F.col("variant")))
+    return d.join(places, "location").join(variants, "variant").drop("location", "variant")
 
-    def keys(column: str, f) -> DataFrame:
-        flat = d.select("device_key", F.explode(column).alias("label"))
-        named = flat.select("label").distinct().withColumn("k", f(F.col("label")))
-        return flat.join(named, "label").where("k <> ''").groupBy("device_key").agg(F.collect_set("k").alias(f"{column}_keys"))
 
-    d = d.join(keys("h", lambda c: X.key(X.site(c))), "device_key", "left").join(keys("m", model_evidence_key), "device_key", "left")
-    none = F.expr(X.NO_STRINGS)
-    return d.select("device_key", "serial", F.coalesce("h_keys", none).alias("sites"), F.coalesce("m_keys", none).alias("models"), "phones", "assets")
+def device_table(facts: DataFrame) -> DataFrame:
+    """(device_key, serial, sites, models, phones, assets) of the devices that ``record_facts`` name."""
+    some = lambda c: F.collect_set(F.when(F.col(c) != "", F.col(c)))
+    flat = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    return facts.groupBy(F.col("serial").alias("device_key")).agg(F.first("serial").alias("serial"), some("site").alias("sites"), some("model").alias("models"), flat("phones").alias("phones"), flat("assets").alias("assets"))
 
 
 def evidence_sets(readings: DataFrame) -> DataFrame:
     """(doc_id, serials, sites, models, phones, assets): all keys of each document."""
     k = keyed(readings)
     take = lambda f: F.array_sort(F.collect_set(F.when(F.col("field") == f, F.col("key"))))
-    ev = k.groupBy("doc_id").agg(take("serial_candidates").alias("serials"), take("hospital_raw").alias("e_sites"), take("product_raw").alias("e_models"), take("phone_candidates").alias("e_phones"), take("asset_candidates").alias("e_assets"))
+    ev = k.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.when(F.col("field").isin("serial_candidates", "serial_visual_candidates"), F.col("key")))).alias("serials"), take("hospital_raw").alias("e_sites"), take("product_raw").alias("e_models"), take("phone_candidates").alias("e_phones"), take("asset_candidates").alias("e_assets"))
     return readings.select("doc_id").distinct().join(ev, "doc_id", "left")
 
 
-def retrieve_devices(readings: DataFrame, records: DataFrame, most: int = 10, edits: int = 3) -> DataFrame:
+def retrieve_devices(readings: DataFrame, facts: DataFrame, most: int = 10, edits: int = 3) -> DataFrame:
     """(doc_id, device_key, distance, reason): devices whose serial is near enough, or why there are none.
 
     Within one edit a serial alone is enough; two or three edits also ask for the site and the model, so these come
     from an equi-join on both. A document without serials asks for site, model, phone and asset of exactly one device.
     Neither join is a nested loop; more than ``most`` devices within one edit of the closest give none at all.
     """
-    ev, dev = settled(evidence_sets(readings)), settled(device_table(records))
+    ev, dev = settled(evidence_sets(readings)), settled(device_table(facts))
     near = ev.select("doc_id", F.explode("serials").alias("s")).select("doc_id", "s", F.explode(neighbours(F.col("s"))).alias("nb"))
     own = dev.select("device_key", "serial", F.explode(neighbours(F.col("serial"))).alias("nb"))
     close = near.join(own, "nb").where(F.levenshtein(F.col("s"), F.col("serial"), 1) >= 0).select("doc_id", "device_key")
@@ -76,7 +79,7 @@ def retrieve_devices(readings: DataFrame, records: DataFrame, most: int = 10, ed
     placed = overlap("e_sites", "sites") & overlap("e_models", "models")
     with_serial = (F.size("serials") > 0) & (F.col("distance") <= edits) & (likeness >= 0.5) & ((F.col("distance") <= 1) | placed)
     without = (F.size("serials") == 0) & placed & overlap("e_phones", "phones") & overlap("e_assets", "assets")
-    found = d.where(with_serial | without).select("doc_id", "device_key", F.coalesce("distance", F.lit(0)).alias("distance"), (F.size("serials") == 0).alias("bare"))
+    found = settled(d.where(with_serial | without).select("doc_id", "device_key", F.coalesce("distance", F.lit(0)).alias("distance"), (F.size("serials") == 0).alias("bare")))
     best = found.groupBy("doc_id").agg(F.min("distance").alias("closest"), F.count("*").alias("n"))
     kept = found.join(best, "doc_id").where(F.col("distance") <= F.col("closest") + 1)
     count = kept.groupBy("doc_id").agg(F.count("*").alias("kept"))
@@ -87,6 +90,26 @@ def retrieve_devices(readings: DataFrame, records: DataFrame, most: int = 10, ed
     return kept.union(missing.select("doc_id", F.lit(None).cast("string"), F.lit(None).cast("int"), reason))
 
 
+def candidate_pool(readings: DataFrame, facts: DataFrame, devices: DataFrame, most: int = 80, page: int = 60, serials: int = 6) -> DataFrame:
+    """(doc_id, gid, reason): records to assess for each document, those of its retrieved ``devices`` and those that bear a serial it reads.
+
+    A serial with ``page`` records or more, more than ``serials`` valid serials, or more than ``most`` records in all
+    give none and say so: a shortened list could hide a rival.
+    """
+    read = evidence_sets(readings).select("doc_id", F.filter("serials", X.valid_serial).alias("valid"))
+    held = facts.groupBy("serial").agg(F.count("*").alias("hits"))
+    asked = read.select("doc_id", F.size("valid").alias("n"), F.explode_outer("valid").alias("serial")).join(held, "serial", "left")
+    over = asked.groupBy("doc_id").agg(((F.max("n") > serials) | F.coalesce(F.max("hits") >= page, F.lit(False))).alias("over"))
+    by_serial = asked.where("hits IS NOT NULL").select("doc_id", "serial")
+    pool = devices.where("device_key IS NOT NULL").select("doc_id", F.col("device_key").alias("serial")).union(by_serial).distinct()
+    sizes = pool.join(held, "serial").groupBy("doc_id").agg(F.sum("hits").alias("size"))
+    state = over.join(sizes, "doc_id", "left").select("doc_id", (F.col("over") | F.coalesce(F.col("size") > most, F.lit(False))).alias("over"))
+    kept = pool.join(state.where("NOT over"), "doc_id", "left_semi").join(facts.select("serial", "gid"), "serial")
+    rest = state.join(kept.select("doc_id").distinct(), "doc_id", "left_anti")
+    none = rest.select("doc_id", F.lit(None).cast("string").alias("gid"), F.when(F.col("over"), "task_candidate_limit").otherwise("no_live_tasks").alias("reason"))
+    return kept.select("doc_id", "gid", F.lit("live_tasks_read").alias("reason")).union(none)
+
+
 def lookup_orders(inputs: DataFrame, records: DataFrame) -> DataFrame:
     """(order_no, gid, status): every distinct input with its exact matches; invalid inputs and misses keep a row."""
     asked = inputs.select(F.trim("order_no").alias("order_no")).where("order_no <> ''").distinct().withColumn("valid", F.col("order_no").rlike(r"^[56]\d{7}$"))

@@ -138,7 +138,7 @@ def near_duplicate_documents(d):
     return bands.join(other, ["band", "part"]).where("id < id2").where(F.bit_count(F.col("h").bitwiseXOR(F.col("h2"))) <= 2).select("id", "id2").distinct()
 
 
-@query(None, "embeddings")
+@query("""SELECT vec_id AS id, round(len(list_filter(embedding, lambda x: x > 0)) / len(embedding), 6) AS density, len(list_filter(embedding, lambda x: x > 0)) / len(embedding) >= 0.03 AS meaningful FROM embeddings""", "embeddings")
 def content_density(d):
     v = vector(d)
     share = F.size(F.filter("e", lambda x: x > 0)) / F.size("e")
