@@ -13,22 +13,22 @@ QUERIES, SQL = {}, {}
 
 #: What records and documents say, by the same keys; devices by serial; every pair of serials within three edits.
 LINKED = KEYED + r""",
-facts AS (SELECT gid, serial, coalesce(p.k, '') AS site, m.k AS model, m.name AS model_name, phone, asset, lower(replace(contact, ' ', '')) AS contact,
+facts AS MATERIALIZED (SELECT gid, serial, coalesce(p.k, '') AS site, m.k AS model, m.name AS model_name, phone, asset, lower(replace(contact, ' ', '')) AS contact,
   CASE project_name WHEN 'Ultrasound - CM' THEN 'CM' ELSE 'PM' END AS job_type, due_on AS due, order_no
  FROM first_parts f LEFT JOIN placed p ON p.h = f.location LEFT JOIN modelled m ON m.label = f.product WHERE serial <> ''),
 devs AS (SELECT serial, list_distinct(list(site) FILTER (site <> '')) AS sites, list_distinct(list(model) FILTER (model <> '')) AS models, list_distinct(list(phone)) AS phones, list_distinct(list(asset)) AS assets FROM facts GROUP BY 1),
 v AS (SELECT doc_id, field, key, count(DISTINCT round) AS votes FROM keyed GROUP BY ALL),
-ev AS (SELECT doc_id, """ + ", ".join(f"coalesce(list(key ORDER BY key) FILTER (field = '{f}'), []) AS any_{n}, coalesce(list(key ORDER BY key) FILTER (field = '{f}' AND votes >= 2), []) AS two_{n}" for f, n in D.NAMES.items()) + r"""
+ev AS MATERIALIZED (SELECT doc_id, """ + ", ".join(f"coalesce(list(key ORDER BY key) FILTER (field = '{f}'), []) AS any_{n}, coalesce(list(key ORDER BY key) FILTER (field = '{f}' AND votes >= 2), []) AS two_{n}" for f, n in D.NAMES.items()) + r"""
  FROM v GROUP BY 1),
-es AS (SELECT *, list_distinct(list_concat(any_serial, any_visual)) AS serials, list_distinct(list_concat(two_serial, two_visual)) AS twice FROM ev),
+es AS MATERIALIZED (SELECT *, list_distinct(list_concat(any_serial, any_visual)) AS serials, list_distinct(list_concat(two_serial, two_visual)) AS twice FROM ev),
 read_serials AS (SELECT doc_id, unnest(serials) AS s FROM es),
 edits AS MATERIALIZED (SELECT s, serial, levenshtein(s, serial) AS dist FROM (SELECT DISTINCT s FROM read_serials) CROSS JOIN (SELECT serial FROM devs) WHERE abs(length(s) - length(serial)) <= 3 AND levenshtein(s, serial) <= 3),
 seen AS (SELECT doc_id, serial, min(dist) AS dist FROM read_serials JOIN edits USING (s) GROUP BY ALL),
-hits AS (
+hits AS MATERIALIZED (
  SELECT doc_id, serial, dist, false AS bare FROM seen JOIN es USING (doc_id) JOIN devs USING (serial) WHERE dist <= 1 OR (list_has_any(any_site, sites) AND list_has_any(any_model, models))
  UNION ALL
- SELECT e.doc_id, d.serial, 0, true FROM es e JOIN facts f ON f.phone IN (SELECT unnest(e.any_phone)) JOIN devs d ON d.serial = f.serial
- WHERE len(e.serials) = 0 AND list_has_any(any_site, sites) AND list_has_any(any_model, models) AND list_has_any(any_phone, phones) AND list_has_any(any_asset, assets) GROUP BY ALL),
+ SELECT e.doc_id, d.serial, 0, true FROM (SELECT *, unnest(any_phone) AS phone FROM es WHERE len(serials) = 0) e JOIN facts f ON f.phone = e.phone JOIN devs d ON d.serial = f.serial
+ WHERE list_has_any(any_site, sites) AND list_has_any(any_model, models) AND list_has_any(any_phone, phones) AND list_has_any(any_asset, assets) GROUP BY ALL),
 closest AS (SELECT *, min(dist) OVER (PARTITION BY doc_id) AS low, count(*) OVER (PARTITION BY doc_id) AS n FROM hits),
 kept_close AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS kept FROM closest WHERE dist <= low + 1),
 retrieved AS (SELECT doc_id, serial AS device_key, dist AS distance FROM kept_close WHERE kept <= 10 AND (NOT bare OR n = 1)),
@@ -51,7 +51,7 @@ asked AS (SELECT p.doc_id, f.*, e.* EXCLUDE (doc_id), t.doc_type,
   list_contains(twice, serial) AS repeated, list_transform(twice, lambda s: levenshtein(s, serial)) AS nearest,
   (len(two_site) > 0 AND site <> '' AND NOT list_contains(two_site, site)) OR (len(two_model) > 0 AND model <> '' AND NOT list_contains(two_model, model)) AS clash
  FROM pool p JOIN facts f USING (gid) JOIN es e ON e.doc_id = p.doc_id JOIN types t ON t.doc_id = p.doc_id),
-assessed AS (SELECT *,
+assessed AS MATERIALIZED (SELECT *,
   CASE distance WHEN 0 THEN 100 WHEN 1 THEN 80 WHEN 2 THEN 60 WHEN 3 THEN 40 ELSE 0 END + 25 * has_site::INT + 20 * has_model::INT + 30 * has_phone::INT + 5 * has_contact::INT + CASE asset_level WHEN 2 THEN 10 WHEN 1 THEN 5 ELSE 0 END AS score,
   coalesce(job_type = doc_type AND NOT clash AND CASE WHEN len(serials) = 0 THEN has_site AND has_model AND has_phone AND asset_level = 2 WHEN distance > 3 THEN false
    WHEN distance = 0 THEN has_model AND ((repeated AND has_site) OR (has_phone AND (repeated OR has_site)))
