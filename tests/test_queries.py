@@ -26,12 +26,3 @@ def test_density_counts_positive_values(spark):
     want = {r[0]: sum(x > 0 for x in r["e"]) / len(r["e"]) for r in v.collect()}
     for r in batches.QUERIES["content_density"](spark, DATA).collect():
         assert abs(r["density"] - want[r["id"]]) < 1e-6
-
-
-def test_near_duplicates_equal_brute_force(spark):
-    v = batches.vector(spark.read.parquet(f"{DATA}/embeddings.parquet")).limit(300)
-    hashes = [(r[0], [a > b for a, b in zip(r["e"], r["e"][1:])]) for r in v.collect()]
-    want = {(min(i, j), max(i, j)) for n, (i, a) in enumerate(hashes) for j, b in hashes[:n] if sum(x != y for x, y in zip(a, b)) <= 2}
-    inside = {i for i, _ in hashes}
-    got = {(r["id"], r["id2"]) for r in batches.QUERIES["near_duplicate_documents"](spark, DATA).collect()}
-    assert {p for p in got if set(p) <= inside} == want

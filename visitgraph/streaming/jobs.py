@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitgraph.operators.batches import queue_item, set_fingerprint
 from visitgraph.operators.index import device_records
 
 
 def queue_fingerprints(events: DataFrame, every: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
-    """(starts, fingerprint): SHA-256 of the sorted queue items of each window; late events up to ``late`` still count."""
-    item = F.concat_ws(":", "event_type", "event_id", F.unix_micros("ts"))
-    w = events.withWatermark("ts", late).groupBy(F.window("ts", every))
-    return w.agg(F.sha2(F.array_join(F.array_sort(F.collect_set(item)), "|"), 256).alias("fingerprint")).select(F.col("window.start").alias("starts"), "fingerprint")
+    """(starts, fingerprint): one hash of each window's set of queue items; events up to ``late`` late still count."""
+    items = events.withWatermark("ts", late).select("ts", queue_item().alias("h")).dropDuplicates(["ts", "h"])
+    return items.groupBy(F.window("ts", every)).agg(set_fingerprint(F.col("h")).alias("fingerprint")).select(F.col("window.start").alias("starts"), "fingerprint")
 
 
 def one_time_notices(reports: DataFrame, within: str = "1 day") -> DataFrame:
