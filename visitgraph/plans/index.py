@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitgraph.functions import models as M
 from visitgraph.functions import text as X
+from visitgraph.operators import directory as D
 from visitgraph.operators import index as I
+from visitgraph.operators.linkage import settled
 from visitgraph.plans.scalar import DUCK_SITES, joined
 from visitgraph.sources.fixtures import DUCK, work_records
+from visitgraph.sources.pages import read_pages, write_pages
 
 QUERIES, SQL = {}, {}
 
@@ -38,11 +42,11 @@ PARSED = PARSED.replace("s.project_name AS pn, ", "").replace("CASE project_name
 
 @query(DUCK + "SELECT gid, name, project_name FROM work_records")
 def scan_work_records(d):
-    schema = "data array<struct<gid:string,name:string,memberships:array<struct<project:struct<name:string>>>>>"
+    """Records read from files of JSON pages, of containers whose name tells a job type. The pages are written first."""
     task = F.struct("gid", "name", F.array(F.struct(F.struct(F.col("project_name").alias("name")).alias("project"))).alias("memberships"))
-    pages = d.groupBy("project_name", (F.col("k") / 100).cast("int").alias("page")).agg(F.to_json(F.struct(F.collect_list(task).alias("data"))).alias("body"))
-    t = pages.select(F.explode(F.from_json("body", schema)["data"]).alias("t"))
-    t = t.select("t.gid", "t.name", F.get("t.memberships", F.lit(0))["project"]["name"].alias("project_name"))
+    pages = d.groupBy((F.col("k") / 100).cast("long").alias("page")).agg(F.collect_list(task).alias("data"))  # a page's records, some hundreds
+    t = read_pages(d.sparkSession, write_pages(pages.select("data")))
+    t = t.select("gid", "name", F.get("memberships", F.lit(0))["project"]["name"].alias("project_name"))
     containers = t.select("project_name").distinct().where(X.container_type(F.col("project_name")).isNotNull())
     return t.join(containers, "project_name", "left_semi").select("gid", "name", "project_name")
 
@@ -57,12 +61,16 @@ def title_segments(d):
     return I.title_segments(I.first_wins(d)).select("gid", "location", "serial", "variant", "product", "parse_status")
 
 
-@query(PARSED + " SELECT gid FROM recs WHERE due_on BETWEEN DATE '1995-01-01' AND DATE '1996-12-30'")
+_WINDOW = "(due_on - 40 BETWEEN DATE '1995-01-01' AND DATE '1996-12-30' OR (job_type = 'PM' AND due_on + 3 BETWEEN DATE '1995-01-01' AND DATE '1996-12-30') OR due_on BETWEEN DATE '1995-01-01' AND DATE '1996-12-30')"
+
+
+@query(PARSED + f" SELECT gid FROM recs WHERE {_WINDOW}")
 def window_filter(d):
-    start = F.lit("1995-01-01").cast("date")
-    days = F.array_compact(F.array("due_on"))
-    inside = (F.size(days) == 0) | F.exists(days, lambda x: x.between(start, F.date_add(start, 729)))
-    return I.first_wins(d).where(inside).select("gid")
+    """Records with any of five dates in the window: made 40 days ahead, changed then, ended 3 days late if not corrective, due, no start."""
+    stamp = lambda day: F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T09:00:00Z"))
+    r = I.first_wins(d).withColumns({"created_at": stamp(F.date_sub("due_on", 40)), "completed_at": F.when(X.container_type(F.col("project_name")) == "PM", stamp(F.date_add("due_on", 3))), "start_on": F.lit(None).cast("date")})
+    days = F.array(*[F.to_date(X.instant(F.col(c))) for c in ("created_at", "completed_at")], "due_on", "start_on")
+    return r.where(D.in_window(F.array_append(days, F.to_date(X.instant(F.col("created_at")))), F.lit("1995-01-01").cast("date"))).select("gid")
 
 
 @query(PARSED + r" SELECT gid, device_key, serial = '' AS weak_identity, hospital, phone AS phones, asset AS assets, contact AS contacts, CAST(due_on AS VARCHAR)[1:10] AS due, job_type FROM recs")
@@ -71,17 +79,98 @@ def device_records(d):
     return r.select("gid", "device_key", "weak_identity", "hospital", joined("phones").alias("phones"), joined("assets").alias("assets"), joined("contacts").alias("contacts"), "due", "job_type")
 
 
-_LIST = lambda c: f"(SELECT string_agg(v, ';' ORDER BY o) FROM (SELECT {c} AS v, min((ord1, ord2, gid)) AS o FROM recs x WHERE x.device_key = r.device_key AND {c} <> '' GROUP BY 1))"
+_VALUES = ", vals AS (SELECT device_key, serial = '' AS weak_identity, field, value, count(*) AS records, min((ord1, ord2, gid)) AS o FROM (SELECT *, unnest(['visits', 'products', 'variants', 'hospitals', 'phones', 'assets', 'job_types']) AS field, unnest(['', grp, variant, hospital, phone, asset, job_type]) AS value FROM recs) WHERE value <> '' OR field = 'visits' GROUP BY ALL)"
+_SHOWN = ("visits", "products", "variants", "hospitals", "phones", "assets", "job_types")
+
+
+@query(PARSED + _VALUES + " SELECT device_key, weak_identity, field, value, records, o[3] AS first_gid FROM vals")
+def device_values(d):
+    v = I.device_values(I.device_records(I.first_wins(d))).where(F.col("field").isin(*_SHOWN))
+    return v.select("device_key", "weak_identity", "field", "value", "records", F.col("first.gid").alias("first_gid"))
 
 
-@query(PARSED + rf""", firsts AS (SELECT DISTINCT device_key FROM recs),
-lists AS (SELECT device_key, f, string_agg(v, ';' ORDER BY o) AS l FROM (
-  SELECT device_key, f, v, min((ord1, ord2, gid)) AS o FROM (
-   SELECT device_key, ord1, ord2, gid, unnest(['p', 'v', 'h', 't', 'a', 'j']) AS f, unnest([grp, variant, hospital, phone, asset, job_type]) AS v FROM recs) WHERE v <> '' GROUP BY 1, 2, 3) GROUP BY 1, 2)
-SELECT r.device_key, r.serial = '' AS weak_identity, coalesce(p.l, '') AS products, coalesce(v.l, '') AS variants, coalesce(h.l, '') AS hospitals, t.l AS phones, a.l AS assets, j.l AS job_types, r.n_refs
-FROM (SELECT device_key, min(serial) AS serial, count(*) AS n_refs FROM recs GROUP BY 1) r
- LEFT JOIN lists p ON p.device_key = r.device_key AND p.f = 'p' LEFT JOIN lists v ON v.device_key = r.device_key AND v.f = 'v' LEFT JOIN lists h ON h.device_key = r.device_key AND h.f = 'h'
- LEFT JOIN lists t ON t.device_key = r.device_key AND t.f = 't' LEFT JOIN lists a ON a.device_key = r.device_key AND a.f = 'a' LEFT JOIN lists j ON j.device_key = r.device_key AND j.f = 'j'""")
+@query(PARSED + _VALUES + " SELECT device_key, weak_identity, " + ", ".join(f"arg_min(value, o) FILTER (field = '{f}s') AS {f}" for f in ("product", "hospital", "phone")) + ", CAST(sum(records) FILTER (field = 'visits') AS BIGINT) AS n_visits, " + ", ".join(f"count_if(field = '{f}') AS n_{f}" for f in _SHOWN[1:]) + " FROM vals GROUP BY 1, 2")
 def device_index(d):
-    x = I.device_index(I.first_wins(d))
-    return x.select("device_key", "weak_identity", *[joined(c).alias(c) for c in ("products", "variants", "hospitals", "phones", "assets", "job_types")], F.size("task_refs").cast("long").alias("n_refs"))
+    return I.device_index(I.device_values(I.device_records(I.first_wins(d))))
+
+
+def parsed(d):
+    """Device records written to the shared folder: the queries below read them more than once, and a filter can't repeat the parsing."""
+    r = I.device_records(I.first_wins(d))
+    return settled(r.select("gid", "device_key", "weak_identity", "parsed", X.key(F.col("serial")).alias("serial"), "location", "hospital", "aliases", "variant", "due", "job_type"))
+
+
+_LEARNED = PARSED + r""", cores AS (SELECT DISTINCT serial, core, regexp_replace(upper(core), '[^A-Z0-9]', '', 'g') AS core_key, site, len(regexp_extract_all(core, '[A-Za-z]+')) AS words FROM recs),
+pairs AS (SELECT a.core_key AS short_key, b.core_key AS full_key, min(a.core) AS short, min(b.core) AS "full", count(DISTINCT serial) AS devices FROM cores a JOIN cores b USING (serial)
+ WHERE serial <> '' AND regexp_full_match(a.core, '[A-Za-z]{2,8}') AND a.site IS NULL AND b.words >= 2 GROUP BY 1, 2 HAVING count(DISTINCT serial) >= 2),
+learned AS (SELECT * FROM pairs WHERE short_key IN (SELECT short_key FROM pairs GROUP BY 1 HAVING count(*) = 1))"""
+
+
+@query(_LEARNED + ' SELECT short, "full" AS full_name, devices FROM learned')
+def alias_learning(d):
+    return D.learn_aliases(parsed(d)).select("short", F.col("full").alias("full_name"), "devices")
+
+
+@query(_LEARNED + r""", keyed_ AS (SELECT gid, regexp_replace(upper(core), '[^A-Z0-9]', '', 'g') AS core_key, CASE WHEN regexp_full_match(core, '[A-Za-z]{2,6}') AND site IS NULL THEN [] ELSE list_filter([core, CASE WHEN site <> core THEN site END,
+  CASE WHEN len(regexp_extract_all(core, '[A-Za-z]+')) >= 2 THEN array_to_string(list_transform(list_filter(regexp_extract_all(upper(core), '[A-Z]+'), lambda w: w NOT IN ('THE', 'OF', 'AND')), lambda w: w[1]), '') END], lambda x: x IS NOT NULL) END AS own FROM recs),
+hit AS (SELECT k.gid, string_agg(concat(l.short, ';', l."full"), ';' ORDER BY l.short_key) AS more FROM keyed_ k JOIN learned l ON l.short_key = k.core_key OR l.full_key = k.core_key GROUP BY 1)
+SELECT gid, array_to_string(list_filter(all_, lambda x, i: x <> '' AND list_position(all_, x) = i), ';') AS aliases FROM (SELECT gid, list_concat(own, string_split(coalesce(more, ''), ';')) AS all_ FROM keyed_ LEFT JOIN hit USING (gid))""")
+def alias_propagation(d):
+    r = parsed(d)
+    return D.propagate_aliases(r, D.learn_aliases(r)).select("gid", joined("aliases").alias("aliases"))
+
+
+_CODES = " UNION ALL ".join(f"SELECT '{v}' AS v, '{k}' AS k" for k, v in M.SITES.items())
+_DIRECTORY = _LEARNED + rf""", codes AS ({_CODES}), rooms_ AS (SELECT *, trim(substr(trim(regexp_replace(location, '^(\s*\([^)]{{1,40}}\)\s*)+', '')), length(core) + 2)) AS detail FROM recs),
+spots AS (SELECT DISTINCT r.location, r.core, r.site, regexp_replace(upper(r.core), '[^A-Z0-9]', '', 'g') AS ck, l."full" AS taught, l.short AS taught_code, len(regexp_extract_all(r.core, '[A-Za-z]+')) AS words FROM recs r LEFT JOIN learned l ON regexp_replace(upper(r.core), '[^A-Z0-9]', '', 'g') IN (l.short_key, l.full_key)),
+kinds AS (SELECT *, CASE WHEN site IS NOT NULL THEN 'confirmed' WHEN taught IS NOT NULL THEN 'learned' WHEN words >= 2 THEN 'confirmed' ELSE 'unconfirmed' END AS kind FROM spots),
+sites_ AS (SELECT *, CASE kind WHEN 'unconfirmed' THEN concat('UNCONFIRMED|', ck) ELSE regexp_replace(upper(coalesce(site, taught, core)), '[^A-Z0-9]', '', 'g') END AS site_key FROM kinds),
+aliases_ AS (SELECT site_key, 'confirmed' AS kind, unnest([core, coalesce(site, core)]) AS a FROM sites_ WHERE kind = 'confirmed' UNION SELECT site_key, 'confirmed', k FROM sites_ JOIN codes ON v = site WHERE kind = 'confirmed' UNION SELECT site_key, 'confirmed', taught FROM sites_ WHERE kind = 'learned'
+ UNION SELECT site_key, 'learned', unnest([taught, taught_code]) FROM sites_ WHERE kind = 'learned' UNION SELECT site_key, 'unconfirmed', core FROM sites_ WHERE kind = 'unconfirmed'),
+directory AS (SELECT n.*, """ + ", ".join(f"coalesce((SELECT string_agg(a, ';' ORDER BY a) FROM aliases_ x WHERE x.site_key = n.site_key AND x.kind = '{k}'), '') AS {k}" for k in ("confirmed", "learned", "unconfirmed")) + r""", devices, places, rooms
+ FROM (SELECT site_key, coalesce(min(CASE WHEN kind = 'learned' THEN taught WHEN kind = 'confirmed' AND words >= 2 THEN core END), min(site), '') AS canonical, bool_or(kind <> 'unconfirmed') AS enabled FROM sites_ GROUP BY 1) n
+ JOIN (SELECT s.site_key, count(DISTINCT device_key) AS devices, count(DISTINCT r.location) AS places, count(DISTINCT CASE WHEN r.detail <> '' THEN r.detail END) AS rooms FROM rooms_ r JOIN (SELECT DISTINCT location, site_key FROM sites_) s USING (location) GROUP BY 1) u USING (site_key))"""
+
+
+def directory(r):
+    return D.location_directory(r, D.learn_aliases(r))
+
+
+@query(_DIRECTORY + " SELECT site_key, canonical, enabled, confirmed, learned, unconfirmed, devices, places, rooms FROM directory")
+def location_directory(d):
+    x = directory(parsed(d))
+    return x.select("site_key", "canonical", "enabled", *[joined(c).alias(c) for c in ("confirmed", "learned", "unconfirmed")], "devices", "places", "rooms")
+
+
+_CATALOG = r""", judged AS (SELECT DISTINCT serial, variant, grp, CASE variant WHEN 'EPIQ' THEN 'group_only' WHEN 'Zed X9' THEN 'unconfirmed' ELSE 'confirmed' END AS status FROM recs WHERE serial <> '' AND variant <> '')"""
+
+
+@query(PARSED + _CATALOG + " SELECT status, variant AS name, count(DISTINCT serial) AS devices, 1::BIGINT AS variants FROM judged GROUP BY ALL")
+def model_catalog(d):
+    return D.model_catalog(D.strong_models(parsed(d)))
+
+
+@query(_DIRECTORY + _CATALOG + r""" SELECT * FROM (SELECT 'family' AS kind, grp AS name, count(*) AS n FROM judged WHERE status = 'confirmed' GROUP BY ALL ORDER BY n DESC, name LIMIT 4)
+UNION ALL SELECT * FROM (SELECT 'model', variant, count(*) AS n FROM judged WHERE status = 'confirmed' GROUP BY ALL ORDER BY n DESC, variant LIMIT 12)
+UNION ALL SELECT * FROM (SELECT 'site_code', a, CAST(sum(devices) AS BIGINT) AS n FROM aliases_ x JOIN directory USING (site_key) WHERE x.kind = 'confirmed' AND enabled AND devices >= 2 AND site_key IN (SELECT site_key FROM sites_ WHERE kind = 'confirmed') AND regexp_full_match(a, '[A-Z]{2,6}') GROUP BY ALL ORDER BY n DESC, a LIMIT 20)""")
+def topk_vocabulary(d):
+    r = parsed(d)
+    return D.vocabulary(D.strong_models(r), directory(r))
+
+
+@query(PARSED + " SELECT CAST(max(due_on) AS VARCHAR)[1:10] AS newest, count(*) AS records, count_if(due_on BETWEEN DATE '1995-01-01' AND DATE '1996-12-30') AS in_window, 0::BIGINT AS unparsed, count(DISTINCT device_key) AS devices, count(*) - count(DISTINCT device_key) AS merged FROM recs")
+def index_counters(d):
+    return D.counters(parsed(d), D.in_window(F.array(F.to_date("due")), F.lit("1995-01-01").cast("date")))
+
+
+@query(PARSED + r""", old AS (SELECT gid, device_key, CAST(due_on AS VARCHAR)[1:10] AS modified FROM recs WHERE due_on <= DATE '1996-06-30'),
+new AS (SELECT gid, device_key, due_on, CAST(CASE WHEN job_type = 'PM' THEN due_on + 30 ELSE due_on END AS VARCHAR)[1:10] AS modified FROM recs)
+SELECT coalesce(o.gid, n.gid) AS gid, CASE WHEN o.gid IS NULL OR n.modified > o.modified THEN n.device_key ELSE o.device_key END AS device_key, CASE WHEN o.gid IS NULL OR n.modified > o.modified THEN n.modified ELSE o.modified END AS modified, coalesce(o.gid IS NULL OR n.modified > o.modified, false) AS changed
+FROM old o FULL JOIN new n ON o.gid = n.gid WHERE NOT (coalesce(o.gid IS NULL OR n.modified > o.modified, false) AND NOT n.due_on BETWEEN DATE '1995-01-01' AND DATE '1996-12-30')""")
+def incremental_index(d):
+    """An index of records due by mid 1996, then a scan of all records, in which visits that are not corrective changed 30 days later."""
+    r = parsed(d).select("gid", "device_key", "due", "job_type")
+    old = r.where("due <= '1996-06-30'").withColumn("modified", F.col("due"))
+    later = F.when(F.col("job_type") == "PM", F.date_format(F.date_add(F.to_date("due"), 30), "yyyy-MM-dd")).otherwise(F.col("due"))
+    inside = D.in_window(F.array(F.to_date("due")), F.lit("1995-01-01").cast("date"))
+    return D.upsert_records(old, r.withColumn("modified", later), inside).select("gid", "device_key", "modified", "changed")

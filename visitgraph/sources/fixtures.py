@@ -15,7 +15,7 @@ WITH d AS (
  JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey),
 work_parts AS (
  SELECT k, dev, l_partkey AS ord1, l_suppkey AS ord2, CAST(k AS VARCHAR(20)) AS gid,
-  CASE c_nationkey % 5 WHEN 0 THEN CASE WHEN k % 6 = 0 THEN concat('GH', chr(65 + CAST(c_nationkey AS INT))) ELSE concat(n_name,' General Hospital') END WHEN 1 THEN 'QMH' WHEN 2 THEN 'PYN-3F'
+  CASE c_nationkey % 5 WHEN 0 THEN CASE WHEN k % 6 = 0 THEN concat('GH', chr(65 + CAST(c_nationkey AS INT))) ELSE concat(substr(n_name, 1, 1), lower(substr(n_name, 2)), ' General Hospital') END WHEN 1 THEN 'QMH' WHEN 2 THEN 'PYN-3F'
        WHEN 3 THEN '(Aug) KWH 5A' ELSE 'ZZH' END AS location,
   CASE dev % 7 WHEN 0 THEN 'Affiniti 70' WHEN 1 THEN 'Affiniti 70G' WHEN 2 THEN 'EPIQ 7G' WHEN 3 THEN 'CX50'
        WHEN 4 THEN 'MX450' WHEN 5 THEN 'EPIQ' ELSE 'Zed X9' END AS product,
