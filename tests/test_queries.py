@@ -1,12 +1,13 @@
 import hashlib
 import hmac
+from collections import defaultdict
 
 import pytest
 
 from tests.conftest import DATA
-from visitgraph.plans import batches, index, matching, scalar, voting
+from visitgraph.plans import batches, index, matching, review, scalar, voting
 
-PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, matching, batches) for name, f in plan.QUERIES.items() if name in plan.SQL}
+PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, matching, batches, review) for name, f in plan.QUERIES.items() if name in plan.SQL}
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))
@@ -26,3 +27,31 @@ def test_density_counts_positive_values(spark):
     want = {r[0]: sum(x > 0 for x in r["e"]) / len(r["e"]) for r in v.collect()}
     for r in batches.QUERIES["content_density"](spark, DATA).collect():
         assert abs(r["density"] - want[r["id"]]) < 1e-6
+
+
+def test_edits_equal_plain_python(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    block, got = "visited 1/2 10:00", {r["doc_id"]: r["kept"] for r in review.QUERIES["edit_preservation"](spark, DATA).collect()}
+    for i, t in texts.items():
+        new = [f"{t}\n{block}", f"first\n{t}\n{block}", f"{t}\n{block}".split("\n", 1)[1], f"{t}\n{block}\nlast"][i % 4]
+        rest = iter(x.strip() for x in new.split("\n") if x.strip())
+        assert got[i] == (all(x.strip() in rest for x in t.split("\n") if x.strip()) and new.endswith(block))
+    assert set(got.values()) == {True, False}
+
+
+def test_backoff_keeps_its_waits(spark):
+    from visitgraph.operators.dispatch import backoff, step
+
+    rows = [(1, i, f"2024-01-01 {m // 60:02}:{m % 60:02}:00", f, inp, False) for i, (m, f, inp) in enumerate([(0, "a", True), (10, "a", False), (20, "a", False), (50, "a", False), (60, "a", False), (65, "b", True), (66, "c", False), (90, None, False), (91, "c", False)])]
+    d = spark.createDataFrame(rows, "queue long, event_id long, ts string, fingerprint string, has_input boolean, changed_later boolean").selectExpr("queue", "event_id", "cast(ts as timestamp) ts", "fingerprint", "has_input", "changed_later")
+    got = [(r["action"], r["attempts"]) for r in backoff(d).orderBy("event_id").collect()]
+    assert got == [("dispatch", 1), ("wait", 1), ("dispatch", 2), ("wait", 2), ("dispatch", 3), ("dispatch", 1), ("wait", 0), ("idle", 0), ("dispatch", 1)]
+    by, out = defaultdict(list), {}
+    for r in spark.read.parquet(f"{DATA}/events.parquet").collect():
+        by[r["user_id"]].append(r)
+    for q, events in by.items():
+        state = (None, None, 0)
+        for r in sorted(events, key=lambda r: (r["ts"], r["event_id"])):
+            f = None if r["event_type"] == "signup" else str(int(r["value"] // 40))
+            state, out[r["event_id"]] = step(state, r["ts"].timestamp(), f, r["event_type"] == "click", r["event_type"] == "error")
+    assert {r["event_id"]: r["action"] for r in review.QUERIES["dispatch_backoff"](spark, DATA).collect()} == out

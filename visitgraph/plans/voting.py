@@ -82,12 +82,3 @@ SQL["crosspage_conflicts"] = KEYED + ", rep AS (SELECT doc_id, field, page, key
 def repeated_identifier_agreement(d):
     per = E.keyed(d).where("field = 'asset_candidates'").groupBy("doc_id", "key").agg(F.count_distinct("round").alias("n")).where("n >= 2")
     return per.groupBy("doc_id").agg(F.count("*").alias("rivals"), F.min("key").alias("asset")).where("rivals = 1").select("doc_id", "asset")
-
-
-@query("""SELECT field, CASE WHEN key IS NULL THEN 'missing' ELSE 'not_canonical' END AS reason, count(*) AS n FROM (
- SELECT r.doc_id, f.field, k.key FROM readings r CROSS JOIN (VALUES ('serial_candidates'), ('hospital_raw'), ('product_model'), ('asset_candidates')) f(field) LEFT JOIN keyed k ON k.doc_id = r.doc_id AND k.round = r.round AND k.field = f.field) WHERE key IS NULL GROUP BY ALL""")
-def rejection_stats(d):
-    k = E.keyed(d).select("doc_id", "round", "field")
-    fields = [f for f in E.FIELDS if f in ("serial_candidates", "hospital_raw", "product_model", "asset_candidates")]
-    every = d.select("doc_id", "round", F.explode(F.array(*map(F.lit, fields))).alias("field"))
-    return every.join(k, ["doc_id", "round", "field"], "left_anti").groupBy("field").agg(F.count("*").alias("n")).select("field", F.lit("missing").alias("reason"), "n")
