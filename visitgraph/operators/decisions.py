@@ -105,3 +105,35 @@ def select_visit(readings: DataFrame, evidence: DataFrame, assessed: DataFrame,
     d = d.withColumn("reason", reason)
     gid = F.when(F.col("reason") == "action_date_live_visit_confirmed", F.col("first.gid")).when(F.col("reason") == "upload_prior_live_visit_confirmed", F.col("month_gid"))
     return d.select("doc_id", gid.alias("gid"), "reason")
+
+
+#: Points of the general score, by serial distance and by what else agrees.
+WEIGHTS = {"type": 35, "serial": {0: 100, 1: 70, 2: 50, 3: 30}, "phone": 45, "phone_near": 20, "asset": 35, "asset_near": 15, "site": 20, "model": 15, "contact": 8, "contact_near": 5, "days_3": 50, "days_14": 40, "days_31": 25, "conflict": -1000}
+
+
+def weigh(pool: DataFrame, evidence: DataFrame, facts: DataFrame, types: DataFrame) -> DataFrame:
+    """(doc_id, gid, distance, delta, score) for each pair of ``pool``: the general score, a sum of weights.
+
+    A date more than 31 days from the record's day excludes the pair, whatever else agrees: its score is the conflict's.
+    A field that the document or the record lacks adds nothing.
+    """
+    d = pool.join(evidence, "doc_id").join(types, "doc_id").join(facts, "gid")
+    w = WEIGHTS
+    serials = F.array_union("any_serial", "any_visual")
+    has = lambda xs, ys, f: F.exists(xs, lambda a: F.exists(ys, lambda b: f(a, b)))
+    contact = F.coalesce(F.array_max(F.flatten(F.transform("any_contact", lambda a: F.transform("contacts", lambda b: X.similarity(a, b))))), F.lit(0.0))
+    d = d.withColumns({"distance": least_edits(serials, F.col("serial")), "delta": F.array_min(F.transform("any_date", lambda x: F.abs(F.datediff(F.to_date(x), F.col("due"))))), "_level": X.asset_level(F.col("any_asset"), F.col("assets")), "_contact": contact})
+    near_phone = has("any_phone", "phones", lambda a, b: (F.length(a) == F.length(b)) & (F.levenshtein(a, b, 1) >= 0))
+    if_ = lambda cond, n: F.when(cond, n).otherwise(0)
+    one_of = lambda *cases: F.coalesce(*[F.when(c, n) for c, n in cases], F.lit(0))
+    score = (
+        if_(F.col("job_type") == F.col("doc_type"), w["type"])
+        + one_of(*[(F.col("distance") == k, n) for k, n in w["serial"].items()])
+        + one_of((meets(F.col("any_phone"), F.col("phones")), w["phone"]), (near_phone, w["phone_near"]))
+        + one_of((F.col("_level") == 2, w["asset"]), (F.col("_level") == 1, w["asset_near"]))
+        + if_(F.array_contains("any_site", F.col("site")), w["site"])
+        + if_(F.array_contains("any_model", F.col("model")), w["model"])
+        + one_of((F.col("_contact") >= 0.9, w["contact"]), (F.col("_contact") >= 0.75, w["contact_near"]))
+        + one_of(*[(F.col("delta") <= n, w[f"days_{n}"]) for n in (3, 14, 31)])
+    )
+    return d.select("doc_id", "gid", "distance", "delta", F.when(F.col("delta") > 31, w["conflict"]).otherwise(score).alias("score"))

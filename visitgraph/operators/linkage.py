@@ -115,3 +115,26 @@ def lookup_orders(inputs: DataFrame, records: DataFrame) -> DataFrame:
     asked = inputs.select(F.trim("order_no").alias("order_no")).where("order_no <> ''").distinct().withColumn("valid", F.col("order_no").rlike(r"^[56]\d{7}$"))
     tokens = records.select("gid", F.explode(F.array_distinct(X.all_of(F.col("name"), r"\b[56]\d{7}\b"))).alias("order_no")).distinct()
     return asked.join(tokens, "order_no", "left").select("order_no", "gid", F.when(~F.col("valid"), "invalid").when(F.col("gid").isNull(), "not_found").otherwise("found").alias("status"))
+
+
+def audit_cases(cases: DataFrame, records: DataFrame, recent: str, page: int = 100) -> DataFrame:
+    """(doc_id, gid, score, reasons): records that name a serial, phone or asset of a case, scored by all that they name.
+
+    ``cases`` (doc_id, serials, phones, assets, sites, product) hold texts; ``records`` (gid, name, notes, due) are
+    unique by gid. Records are found by whole tokens, then scored by what their text contains. A token that ``page``
+    records or more bear finds none of them, as a search that fills its page does not tell records apart.
+    """
+    text = F.concat_ws("\n", "name", "notes")
+    r = records.select("gid", "due", X.key(text).alias("body"), X.digits(text).alias("numbers"), X.key(F.col("name")).alias("title"), F.array_distinct(X.all_of(F.upper(text), "[A-Z0-9]{6,}")).alias("tokens"))
+    keys = lambda c, f: F.array_distinct(F.filter(F.transform(c, f), lambda x: x != ""))
+    c = cases.select("doc_id", keys("serials", X.key).alias("serials"), keys("phones", X.digits).alias("phones"), keys("assets", X.digits).alias("assets"), keys("sites", X.key).alias("sites"), X.key(F.col("product")).alias("product"))
+    asked = c.select("doc_id", F.explode(F.array_distinct(F.concat("serials", "phones", "assets"))).alias("token"))
+    held = r.select("gid", F.explode("tokens").alias("token"))
+    rare = held.join(asked.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") < page).select("token")
+    pairs = asked.join(held.join(rare, "token"), "token").select("doc_id", "gid").distinct()
+    d = pairs.join(c, "doc_id").join(r.drop("tokens"), "gid")
+    inside = lambda a, hay: F.exists(a, lambda x: F.contains(F.col(hay), x))
+    # Points of what a record names.
+    points = [("serial", inside("serials", "body"), 100), ("phone", inside("phones", "numbers"), 45), ("asset", inside("assets", "numbers"), 30), ("site", F.exists("sites", lambda x: F.col("title").startswith(x)), 20), ("product", (F.col("product") != "") & F.contains("title", F.col("product")), 15), ("recent", F.col("due") >= F.lit(recent).cast("date"), 10)]
+    score = sum((F.when(cond, n).otherwise(0) for _, cond, n in points), F.lit(0))
+    return d.select("doc_id", "gid", score.alias("score"), F.array_compact(F.array(*[F.when(cond, name) for name, cond, _ in points])).alias("reasons"))

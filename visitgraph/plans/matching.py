@@ -151,3 +151,33 @@ def order_lookup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     inputs = orders.select(F.concat(F.lit("6"), F.lpad((F.col("o_orderkey") % 10000000).cast("string"), 7, "0")).alias("order_no")).union(orders.select(key))
     return L.lookup_orders(inputs, work_records(spark, sf_dir))
+
+
+@query(LINKED + """ SELECT doc_id, gid, distance, delta, CASE WHEN delta > 31 THEN -1000 ELSE CASE WHEN job_type = doc_type THEN 35 ELSE 0 END + CASE distance WHEN 0 THEN 100 WHEN 1 THEN 70 WHEN 2 THEN 50 WHEN 3 THEN 30 ELSE 0 END
+ + CASE WHEN has_phone THEN 45 WHEN len(list_filter(any_phone, lambda p: length(p) = length(phone) AND levenshtein(p, phone) <= 1)) > 0 THEN 20 ELSE 0 END + CASE asset_level WHEN 2 THEN 35 WHEN 1 THEN 15 ELSE 0 END
+ + CASE WHEN list_contains(any_site, site) THEN 20 ELSE 0 END + CASE WHEN list_contains(any_model, model) THEN 15 ELSE 0 END + CASE WHEN alike >= 0.9 THEN 8 WHEN alike >= 0.75 THEN 5 ELSE 0 END + CASE WHEN delta <= 3 THEN 50 WHEN delta <= 14 THEN 40 WHEN delta <= 31 THEN 25 ELSE 0 END END AS score
+ FROM (SELECT *, list_min(list_transform(any_date, lambda x: abs(datediff('day', due, CAST(x AS DATE))))) AS delta, list_max(list_transform(any_contact, lambda c: 1 - levenshtein(c, contact) / greatest(length(c), length(contact)))) AS alike FROM assessed)""")
+def weighted_scores(spark, sf_dir):
+    r, facts, devices = linked(spark, sf_dir)
+    pool = L.candidate_pool(r, facts, devices).where("gid IS NOT NULL").select("doc_id", "gid")
+    types = L.first_wins(work_records(spark, sf_dir)).select(F.col("gid").alias("doc_id"), L.X.container_type(F.col("project_name")).alias("doc_type"))
+    w = D.weigh(pool, D.evidence_row(r), facts, types)
+    return w.select("doc_id", "gid", *[F.col(c).cast("long").alias(c) for c in ("distance", "delta", "score")])
+
+
+@query(DUCK.rstrip() + r""",
+cases AS (SELECT doc_id, list_distinct(list(serial) FILTER (serial IS NOT NULL)) AS serials, list_distinct(list(phone)) AS phones, list_distinct(list(asset) FILTER (asset IS NOT NULL)) AS assets, list_distinct(list(regexp_replace(upper(hospital_raw), '[^A-Z0-9]', '', 'g')) FILTER (hospital_raw IS NOT NULL)) AS sites, regexp_replace(upper(max(product_raw)), '[^A-Z0-9]', '', 'g') AS product FROM readings GROUP BY 1),
+recs AS (SELECT f.gid, f.due_on, regexp_replace(upper(w.name), '[^A-Z0-9]', '', 'g') AS title, regexp_replace(upper(concat(w.name, w.notes)), '[^A-Z0-9]', '', 'g') AS body, regexp_replace(concat(w.name, w.notes), '[^0-9]', '', 'g') AS numbers, list_distinct(regexp_extract_all(upper(concat(w.name, ' ', w.notes)), '[A-Z0-9]{6,}')) AS tokens
+ FROM first_parts f JOIN work_records w ON w.gid = f.gid AND w.ord1 = f.ord1 AND w.ord2 = f.ord2),
+asked AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(serials, phones), assets)) AS token FROM cases),
+held AS MATERIALIZED (SELECT gid, unnest(tokens) AS token FROM recs),
+rare AS (SELECT token FROM held GROUP BY 1 HAVING count(*) < 100),
+found AS (SELECT DISTINCT doc_id, gid FROM asked JOIN held USING (token) JOIN rare USING (token)),
+hits AS (SELECT doc_id, gid, coalesce(len(list_filter(serials, lambda x: contains(body, x))) > 0, false) AS s, coalesce(len(list_filter(phones, lambda x: contains(numbers, x))) > 0, false) AS p, coalesce(len(list_filter(assets, lambda x: contains(numbers, x))) > 0, false) AS a, coalesce(len(list_filter(sites, lambda x: starts_with(title, x))) > 0, false) AS h, contains(title, product) AS m, due_on >= DATE '1998-01-01' AS r FROM found JOIN cases USING (doc_id) JOIN recs USING (gid))
+SELECT doc_id, gid, 100 * s::INT + 45 * p::INT + 30 * a::INT + 20 * h::INT + 15 * m::INT + 10 * r::INT AS score, concat_ws(';', CASE WHEN s THEN 'serial' END, CASE WHEN p THEN 'phone' END, CASE WHEN a THEN 'asset' END, CASE WHEN h THEN 'site' END, CASE WHEN m THEN 'product' END, CASE WHEN r THEN 'recent' END) AS reasons FROM hits""")
+def case_audit(spark, sf_dir):
+    """Every document's readings as a case, audited against all records."""
+    some = lambda c: F.collect_set(c)  # noqa: E731 a document's four readings
+    cases = readings(spark, sf_dir).groupBy("doc_id").agg(some("serial").alias("serials"), some("phone").alias("phones"), some("asset").alias("assets"), some("hospital_raw").alias("sites"), F.max("product_raw").alias("product"))
+    records = L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes", F.col("due_on").alias("due"))
+    return L.audit_cases(cases, records, "1998-01-01").select("doc_id", "gid", F.col("score").cast("long").alias("score"), F.array_join("reasons", ";").alias("reasons"))
