@@ -7,6 +7,7 @@ from visitgraph.llm.media import op8_media
 from visitgraph.llm.minhash import op9_minhash
 from visitgraph.llm.mixing import op6_mixing
 from visitgraph.llm.packing import op7_packing
+from visitgraph.llm.phrases import OP12, op12_phrases
 from visitgraph.llm.pii import op1_pii
 from visitgraph.llm.quality import op3_quality
 from visitgraph.llm.secrets import op4_secrets
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
+    "op12_phrases": op12_phrases,
 }
 
 #: Link edges by tags and their attributes, reachability by recursion; rules and precedence as CASE.
@@ -67,4 +69,4 @@ said AS (
 SELECT k.page_id, k.host, k.path, k.rule, coalesce(k.own, said.said, 'allow') AS verdict FROM k LEFT JOIN said ON said.node = k.node WHERE k.page_id IS NOT NULL
 """
 
-ORACLES = {"op2_urls": OP2}
+ORACLES = {"op2_urls": OP2, "op12_phrases": OP12}
