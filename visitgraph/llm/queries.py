@@ -8,6 +8,7 @@ from visitgraph.llm.minhash import op9_minhash
 from visitgraph.llm.mixing import op6_mixing
 from visitgraph.llm.packing import op7_packing
 from visitgraph.llm.phrases import OP12, op12_phrases
+from visitgraph.llm.pieces import op13_pieces
 from visitgraph.llm.pii import op1_pii
 from visitgraph.llm.quality import op3_quality
 from visitgraph.llm.secrets import op4_secrets
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
     "op12_phrases": op12_phrases,
+    "op13_pieces": op13_pieces,
 }
 
 #: Link edges by tags and their attributes, reachability by recursion; rules and precedence as CASE.
