@@ -56,8 +56,11 @@ def private(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def runs(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Regroups batches that are sorted by ``keys`` so that no run of equal keys is cut: each frame holds whole runs."""
+def runs(parts: Iterator[pd.DataFrame], keys: list[str], most: int | None = None) -> Iterator[pd.DataFrame]:
+    """Regroups batches that are sorted by ``keys`` so that no run of equal keys is cut: each frame holds whole runs.
+
+    With ``most``, a run of more rows than that is handed on in parts.
+    """
     rest = None
     for part in parts:
         if not len(part):
@@ -67,6 +70,9 @@ def runs(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFram
         rest = part[last]
         if not last.all():
             yield part[~last].reset_index(drop=True)
+        if most and len(rest) >= most:
+            yield rest.reset_index(drop=True)
+            rest = None
     if rest is not None:
         yield rest.reset_index(drop=True)
 

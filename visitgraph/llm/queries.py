@@ -11,6 +11,7 @@ from visitgraph.llm.phrases import OP12, op12_phrases
 from visitgraph.llm.pieces import op13_pieces
 from visitgraph.llm.pii import op1_pii
 from visitgraph.llm.quality import op3_quality
+from visitgraph.llm.repair import op11_repair
 from visitgraph.llm.secrets import op4_secrets
 from visitgraph.llm.toxicity import op10_toxicity
 from visitgraph.llm.urls import op2_urls
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_media": op8_media,
     "op9_minhash": op9_minhash,
     "op10_toxicity": op10_toxicity,
+    "op11_repair": op11_repair,
     "op12_phrases": op12_phrases,
     "op13_pieces": op13_pieces,
 }
