@@ -201,8 +201,10 @@ def filter_rows(n: int, ids: np.ndarray, bits: int, spread: int, pairs: np.ndarr
     hi, lo = windows(ids, n, bits, pairs)
     width = bits if n == 2 else 2 * bits
     q, r, c = tallied(*permuted(hi, lo, width), width)
+    if not len(q):
+        return
     bucket = q >> np.uint64(max(0, width - spread))
-    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(q) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     for a, z in zip(cuts, np.append(cuts[1:], len(q)), strict=True):
         yield n, int(bucket[a]), frozen(q[a:z], r[a:z], c[a:z])
 
