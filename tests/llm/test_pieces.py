@@ -6,8 +6,9 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from visitgraph.llm.pieces import Normalizer, PieceEncoder, encode_pieces, model_path, op13_pieces
+from visitgraph.llm.pieces import Normalizer, PieceEncoder, decode_pieces, encode_pieces, model_path, op13_pieces
 
 TEXTS = ["", " ", "   ", "a", " a", "a ", "a  b", "Hello  world \n\n x\ty", "\n", "\n\na", "▁", "a▁b ▁ c", "éÈ ß 漢字 😀😀 ①ﬁ", "<s> </s> <0x41> <unk>", "\x00a\x00 b", "word." * 300, "x" * 5000, "... \"q\" (a);\r\n b", "é  　 z", "ᄀ ﷺ​﻿"]
 
@@ -63,6 +64,8 @@ def test_query(spark, tmp_path):
     sp = sentencepiece.SentencePieceProcessor(model_file=model_path())
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     want = [(i, len(ids := sp.encode(t or "")), sha(",".join(map(str, ids))), sha(sp.decode(ids)), len((t or "").encode())) for i, t in rows]
+    stored = encode_pieces(d, model_path()).withColumn("back", decode_pieces(F.col("ids"), model_path()))
+    assert sorted(r["back"] for r in stored.collect()) == sorted(sp.decode(sp.encode(t or "")) for _, t in rows)
     assert sorted(map(tuple, op13_pieces(spark, str(tmp_path)).collect()), key=repr) == sorted(want, key=repr)
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -107,13 +107,13 @@ class Normalizer:
 class PieceEncoder:
     """Ids and source spans of whole texts by a SentencePiece model file.
 
-    The normalised text is cut where no piece of the vocabulary can cross: before a space mark that follows something
-    else, and around line ends, if the vocabulary has these alone. So parts are encoded apart and remembered (up to
-    ``room``, then afresh). If some piece does cross, a text is one part. The library itself encodes a part, with the
-    model's normalisation switched off.
+    The library itself encodes normalised text, with the model's own normalisation switched off. A text with single
+    spaces, under a model that maps no characters and has no piece across a space mark or a line end, falls into words
+    that are encoded apart and remembered: up to ``room`` words, and as many from before, of which those still in use
+    are kept. Any other text is encoded as a whole.
     """
 
-    def __init__(self, path: str, room: int = 1_000_000):
+    def __init__(self, path: str, room: int = 400_000):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -123,51 +123,68 @@ class PieceEncoder:
         if not proto.trainer_spec.byte_fallback or proto.trainer_spec.treat_whitespace_as_suffix or any(p.type == p.USER_DEFINED for p in proto.pieces):
             raise ValueError("only models with byte fallback, space marks in front and no user-defined pieces")
         self.normalizer = Normalizer(spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces)
+        multi = [p.piece for p in proto.pieces if p.type == p.NORMAL and len(p.piece) > 1]
+        apart = not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in multi)
+        self.by_words = apart and self.normalizer.plain and spec.add_dummy_prefix and spec.escape_whitespaces
         self.whole = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces = b"", False, False, False
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        multi = [p.piece for p in proto.pieces if p.type == p.NORMAL and len(p.piece) > 1]
-        crossed = not spec.escape_whitespaces and any(SPACE in p.lstrip(SPACE) for p in multi)
-        lines = "" if any("\n" in p for p in multi) else "\n"
-        self.parts = re.compile(r"(?s).+" if crossed else f"{lines or '(?!)'}|{SPACE}*[^{SPACE}{lines}]+|{SPACE}+").findall
-        self.is_byte = np.array([p.type == p.BYTE for p in proto.pieces])
-        self.length = np.array([len(p.piece.encode()) for p in proto.pieces], np.int32)
-        self.room, self.known = room, {}
-
-    def lengths(self, ids: list[int], part: str) -> np.ndarray:
-        """Normalised bytes of each piece of a part; of a character in byte pieces, the last one has them all."""
-        x = np.asarray(ids, np.int32)
-        out = self.length[x]
-        byte = self.is_byte[x]
+        self.length = np.array([len(p.piece.encode()) for p in proto.pieces], np.int64)
+        self.marks = np.array([p.piece.count(SPACE) for p in proto.pieces], np.int64)
+        byte = [int(p.piece[3:5], 16) if p.type == p.BYTE else -1 for p in proto.pieces]
+        self.is_byte = np.array(byte) >= 0
+        #: Bytes of the character that a byte piece begins; 0 for those that go on with one.
+        self.leads = np.array([0 if b < 0 or 0x80 <= b < 0xC0 else 1 if b < 0x80 else 2 if b < 0xE0 else 3 if b < 0xF0 else 4 for b in byte])
+        self.room, self.known, self.before = room, {}, {}
+
+    def lengths(self, ids: np.ndarray) -> np.ndarray:
+        """Normalised bytes of each piece; of a character in byte pieces, the last one has them all."""
+        out = self.length[ids]
+        byte = self.is_byte[ids]
         if byte.any():
-            raw, at, i = part.encode(), 0, 0
-            while i < len(ids):
-                if byte[i]:
-                    n = 1 if raw[at] < 0x80 else 2 if raw[at] < 0xE0 else 3 if raw[at] < 0xF0 else 4
-                    out[i : i + n] = 0
-                    out[i + n - 1] = n
-                    i, at = i + n, at + n
-                else:
-                    at += int(out[i])
-                    i += 1
+            out[byte] = 0
+            lead = np.flatnonzero(self.leads[ids])
+            n = self.leads[ids[lead]]
+            out[lead + n - 1] = n
         return out
 
+    def learn(self, words: list[str]) -> None:
+        """Remembers words' ids, each with the source bytes of its piece in the upper half."""
+        parts = [w if w.startswith("\n") else SPACE + w for w in words]
+        found = self.model.encode(parts, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        both = (ids | (self.lengths(ids) - 2 * self.marks[ids]) << 32).astype("<i8").tobytes()
+        at = 0
+        for w, x in zip(words, found, strict=True):
+            end = at + 8 * len(x)
+            self.known[w] = both[at:end]
+            at = end
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, start, end) of every piece; start and end are bytes of the original text, end exclusive."""
-        raw, source = self.normalizer.normalize(text or "")
-        parts = self.parts(raw.decode())
-        found = list(map(self.known.get, parts))
+        text = text or ""
+        spread = text.replace("\n", " \n")
+        if not text or not self.by_words or SPACE in text or "  " in spread or spread[0] == " " or spread[-1] == " ":
+            raw, source = self.normalizer.normalize(text)
+            ids = np.array(self.model.encode(raw.decode()), np.int64)
+            ends = np.cumsum(self.lengths(ids))
+            return ids.astype(np.int32), source[np.concatenate(([0], ends[:-1]))] if len(ids) else ids.astype(np.int32), source[ends]
+        words = spread.split(" ")
+        found = list(map(self.known.get, words))
         if None in found:
-            new = list({p for p, x in zip(parts, found, strict=True) if x is None})
+            new = {w for w, x in zip(words, found, strict=True) if x is None}
             if len(self.known) + len(new) > self.room:
-                self.known.clear()
-                new = list(set(parts))
-            for p, ids in zip(new, self.model.encode(new, num_threads=1), strict=True):
-                self.known[p] = np.array(ids, "<i4").tobytes(), self.lengths(ids, p).astype("<i4").tobytes()
-            found = list(map(self.known.get, parts))
-        ids = np.frombuffer(b"".join([x for x, _ in found]), "<i4")
-        ends = np.cumsum(np.frombuffer(b"".join([x for _, x in found]), "<i4"), dtype=np.int64)
-        return ids, source[np.concatenate(([0], ends[:-1]))] if len(ids) else ids, source[ends]
+                self.known, self.before = {}, self.known
+                new = set(words)
+            self.known |= {w: x for w in new if (x := self.before.get(w)) is not None}
+            self.learn([w for w in new if w not in self.known])
+            found = list(map(self.known.get, words))
+        both = np.frombuffer(b"".join(found), "<i4").reshape(-1, 2)
+        ends = np.cumsum(both[:, 1], dtype=np.int32) - 1  # the mark before the text stands for nothing
+        return both[:, 0], np.concatenate((np.zeros(1, np.int32), ends[:-1])), ends
+
+    def decode(self, ids: np.ndarray | None) -> str:
+        return self.whole.decode(ids.tolist()) if ids is not None and len(ids) else ""
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -180,12 +197,13 @@ def _encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", flush: int = 1 << 19) -> DataFrame:
+def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, flush: int = 1 << 18) -> DataFrame:
     """Rows (``id_col``, ids, starts, ends): each text's pieces by the SentencePiece model file ``model``.
 
     ``ids`` are what the library's encode gives without begin and end ids; ``starts`` and ``ends`` are the bytes of the
     original UTF-8 text that a piece stands for. A space mark stands for its space, the one put before the text for
-    nothing; of a character that is spelled in byte pieces, the last has all bytes. Null and empty texts have no
+    nothing; of a character that is spelled in byte pieces, the last has all bytes. With ``decoded`` there is a column
+    of that name, what the library's decode makes of the ids (``decode_pieces`` does it for stored ids). Null and empty texts have no
     pieces; repeated rows come out each; null ids stay null; no rows give no rows; other columns go. No shuffle: a task
     holds the pieces of about ``flush`` tokens, or of one text where that is longer.
     """
@@ -195,16 +213,18 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         for part in parts:
             rows, held, begun = [], 0, 0
             for i, text in enumerate(part["text"]):
-                rows.append(encoder.encode(text))
-                held += len(rows[-1][0])
+                row = encoder.encode(text)
+                held += len(row[0])
+                rows.append((*row, encoder.decode(row[0])) if decoded else row)
                 if held >= flush or i + 1 == len(part):
-                    out = pd.DataFrame(rows, columns=["ids", "starts", "ends"])
+                    out = pd.DataFrame(rows, columns=["ids", "starts", "ends", "decoded"][: len(rows[0])])
                     out.insert(0, "name", part["name"].iloc[begun : i + 1].to_numpy())
                     yield out
                     rows, held, begun = [], 0, i + 1
 
     d = docs.select(F.col(id_col).alias("name"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInPandas(run, f"name {d.schema['name'].dataType.simpleString()}, {ENCODED}").withColumnRenamed("name", id_col)
+    schema = f"name {d.schema['name'].dataType.simpleString()}, {ENCODED}" + (", decoded string" if decoded else "")
+    return d.mapInPandas(run, schema).withColumnRenamed("name", id_col)
 
 
 def decode_pieces(ids: Column, model: str) -> Column:
@@ -212,9 +232,9 @@ def decode_pieces(ids: Column, model: str) -> Column:
 
     @F.pandas_udf("string")
     def decoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        whole = _encoder(model).whole
+        encoder = _encoder(model)
         for part in parts:
-            yield pd.Series([whole.decode(x.tolist()) if x is not None and len(x) else "" for x in part], dtype=object)
+            yield pd.Series([encoder.decode(x) for x in part], dtype=object)
 
     return decoded(ids)
 
@@ -226,6 +246,6 @@ def model_path() -> str:
 
 
 def op13_pieces(spark, sf_dir):
-    out = encode_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), model_path())
+    out = encode_pieces(spark.read.parquet(f"{sf_dir}/documents.parquet"), model_path(), decoded=True)
     n_bytes = F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes")
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2(decode_pieces(F.col("ids"), model_path()), 256).alias("decoded_sha256"), n_bytes)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), n_bytes)
