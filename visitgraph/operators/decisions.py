@@ -15,10 +15,10 @@ SERIAL_POINTS = {0: 100, 1: 80, 2: 60, 3: 40}
 POINTS = {"site": 25, "model": 20, "phone": 30, "contact": 5, "asset_exact": 10, "asset_near": 5}
 
 
-def evidence_row(readings: DataFrame) -> DataFrame:
+def evidence_row(readings: DataFrame, keys: DataFrame) -> DataFrame:
     """One row per document: for each field the keys read (``any_*``) and those read twice or more (``two_*``), sorted."""
     of = lambda f, least: F.array_sort(F.collect_set(F.when((F.col("field") == f) & (F.col("votes") >= least), F.col("key"))))
-    row = votes(readings).groupBy("doc_id").agg(*[of(f, least).alias(f"{side}_{n}") for f, n in NAMES.items() for side, least in (("any", 1), ("two", 2))])
+    row = votes(keys).groupBy("doc_id").agg(*[of(f, least).alias(f"{side}_{n}") for f, n in NAMES.items() for side, least in (("any", 1), ("two", 2))])
     days = readings.groupBy("doc_id").agg(F.min("reference_day").alias("reference_day"))
     none = F.expr(X.NO_STRINGS)
     row = days.join(row, "doc_id", "left")
@@ -64,7 +64,7 @@ def assess(pool: DataFrame, evidence: DataFrame, facts: DataFrame, types: DataFr
     return d.withColumns({"score": score, "ok": F.coalesce(ok, F.lit(False)), "needs_date": (F.col("distance") == 1) & no_site & ~(exact & lone)})
 
 
-def select_visit(readings: DataFrame, evidence: DataFrame, assessed: DataFrame, window: int = 14, gap: int = 15) -> DataFrame:
+def select_visit(keys: DataFrame, evidence: DataFrame, assessed: DataFrame, window: int = 14, gap: int = 15) -> DataFrame:
     """(doc_id, gid, reason): the one visit that a document records, or null and the first rule that refused.
 
     Order of rules: conflicting models; no confirmed record; pages of different sites or models; conflicting or unmet
@@ -72,7 +72,7 @@ def select_visit(readings: DataFrame, evidence: DataFrame, assessed: DataFrame,
     the nearest must be alone or ``gap`` ahead; without one, a single visit in the months around the reference day.
     Ties refuse. Every document keeps a row.
     """
-    pages = crosspage_conflicts(readings).groupBy("doc_id").agg(F.bool_or("conflict").alias("mixed"))
+    pages = crosspage_conflicts(keys).groupBy("doc_id").agg(F.bool_or("conflict").alias("mixed"))
     docs = evidence.join(pages, "doc_id", "left").select("doc_id", "reference_day", (F.coalesce("mixed", F.lit(False))).alias("mixed"), ((F.size("two_model_name") > 1) & F.arrays_overlap("two_model_name", F.array(*map(F.lit, M.EXACT_ONLY)))).alias("models"), F.size("two_order").alias("orders"), F.size("two_date").alias("dates"), F.to_date(F.try_element_at("two_date", F.lit(1))).alias("day"))
     good = assessed.where("ok").select("doc_id", "gid", "serial", "score", "needs_date", "due", ((F.size("two_order") == 0) | F.array_contains("two_order", F.col("order_no"))).alias("ordered"))
     any_ = good.groupBy("doc_id").agg(F.count("*").alias("confirmed"), F.count_if("ordered").alias("with_order"))

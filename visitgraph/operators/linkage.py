@@ -2,25 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitgraph.functions import text as X
-from visitgraph.operators.evidence import confirmed_model, keyed, model_evidence_key
+from visitgraph.operators.evidence import confirmed_model, model_evidence_key
 from visitgraph.operators.index import device_records, first_wins
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet into the folder that ``spark.checkpoint.dir`` names, which all executors share, and read back."""
-    spark = df.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{path.rstrip('/')}/linkage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from visitgraph.operators.tables import settled, spent
 
 
 def neighbours(s: Column) -> Column:
@@ -29,15 +17,19 @@ def neighbours(s: Column) -> Column:
     return F.array_distinct(F.concat(F.array(s), gone))
 
 
-def record_facts(records: DataFrame) -> DataFrame:
-    """(gid, serial, site, model, model_name, phones, assets, contacts, job_type, due, order_no) of first-wins records with a serial, as evidence keys.
+def parsed_records(records: DataFrame) -> DataFrame:
+    """(gid, serial, location, variant, phones, assets, contacts, job_type, due, order_no, ...) of first-wins records, settled."""
+    # written before anyone filters it: pushed down, the filter would repeat all of the parsing
+    d = device_records(first_wins(records))
+    return settled(d.select("weak_identity", "parsed", "gid", X.key(F.col("serial")).alias("serial"), "location", "variant", "phones", "assets", F.transform("contacts", X.text_key).alias("contacts"), "job_type", F.to_date("due").alias("due"), X.order_number(F.col("name")).alias("order_no")))
+
+
+def record_facts(parsed: DataFrame) -> DataFrame:
+    """(gid, serial, site, model, model_name, phones, assets, contacts, job_type, due, order_no) of the ``parsed_records`` with a serial, as evidence keys.
 
     Site and model keys are worked out on distinct labels only.
     """
-    # written before it is filtered: pushed down, the filter would repeat all of the parsing
-    d = device_records(first_wins(records))
-    d = d.select("weak_identity", "parsed", "gid", X.key(F.col("serial")).alias("serial"), "location", "variant", "phones", "assets", F.transform("contacts", X.text_key).alias("contacts"), "job_type", F.to_date("due").alias("due"), X.order_number(F.col("name")).alias("order_no"))
-    d = settled(d).where("NOT weak_identity AND parsed").drop("weak_identity", "parsed")
+    d = parsed.where("NOT weak_identity AND parsed").drop("weak_identity", "parsed")
     places = d.select("location").distinct().withColumn("site", X.key(X.site(F.col("location"))))
     variants = d.select("variant").distinct().withColumn("model", model_evidence_key(F.col("variant"))).withColumn("model_name", confirmed_model(F.col("variant")))
     return d.join(places, "location").join(variants, "variant").drop("location", "variant")
@@ -50,22 +42,21 @@ def device_table(facts: DataFrame) -> DataFrame:
     return facts.groupBy(F.col("serial").alias("device_key")).agg(F.first("serial").alias("serial"), some("site").alias("sites"), some("model").alias("models"), flat("phones").alias("phones"), flat("assets").alias("assets"))
 
 
-def evidence_sets(readings: DataFrame) -> DataFrame:
-    """(doc_id, serials, sites, models, phones, assets): all keys of each document."""
-    k = keyed(readings)
+def evidence_sets(readings: DataFrame, k: DataFrame) -> DataFrame:
+    """(doc_id, serials, sites, models, phones, assets): all keys of each document, out of its ``keyed`` fields."""
     take = lambda f: F.array_sort(F.collect_set(F.when(F.col("field") == f, F.col("key"))))
     ev = k.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.when(F.col("field").isin("serial_candidates", "serial_visual_candidates"), F.col("key")))).alias("serials"), take("hospital_raw").alias("e_sites"), take("product_raw").alias("e_models"), take("phone_candidates").alias("e_phones"), take("asset_candidates").alias("e_assets"))
     return readings.select("doc_id").distinct().join(ev, "doc_id", "left")
 
 
-def retrieve_devices(readings: DataFrame, facts: DataFrame, most: int = 10, edits: int = 3) -> DataFrame:
-    """(doc_id, device_key, distance, reason): devices whose serial is near enough, or why there are none.
+def retrieve_devices(ev: DataFrame, facts: DataFrame, most: int = 10, edits: int = 3) -> DataFrame:
+    """(doc_id, device_key, distance, reason) for documents' ``evidence_sets``: devices whose serial is near enough, or why there are none.
 
     Within one edit a serial alone is enough; two or three edits also ask for the site and the model, so these come
     from an equi-join on both. A document without serials asks for site, model, phone and asset of exactly one device.
     Neither join is a nested loop; more than ``most`` devices within one edit of the closest give none at all.
     """
-    ev, dev = settled(evidence_sets(readings)), settled(device_table(facts))
+    dev = settled(device_table(facts))
     near = ev.select("doc_id", F.explode("serials").alias("s")).select("doc_id", "s", F.explode(neighbours(F.col("s"))).alias("nb"))
     own = dev.select("device_key", "serial", F.explode(neighbours(F.col("serial"))).alias("nb"))
     close = near.join(own, "nb").where(F.levenshtein(F.col("s"), F.col("serial"), 1) >= 0).select("doc_id", "device_key")
@@ -80,6 +71,7 @@ def retrieve_devices(readings: DataFrame, facts: DataFrame, most: int = 10, edit
     with_serial = (F.size("serials") > 0) & (F.col("distance") <= edits) & (likeness >= 0.5) & ((F.col("distance") <= 1) | placed)
     without = (F.size("serials") == 0) & placed & overlap("e_phones", "phones") & overlap("e_assets", "assets")
     found = settled(d.where(with_serial | without).select("doc_id", "device_key", F.coalesce("distance", F.lit(0)).alias("distance"), (F.size("serials") == 0).alias("bare")))
+    spent(dev)
     best = found.groupBy("doc_id").agg(F.min("distance").alias("closest"), F.count("*").alias("n"))
     kept = found.join(best, "doc_id").where(F.col("distance") <= F.col("closest") + 1)
     count = kept.groupBy("doc_id").agg(F.count("*").alias("kept"))
@@ -87,16 +79,18 @@ def retrieve_devices(readings: DataFrame, facts: DataFrame, most: int = 10, edit
     kept = kept.select("doc_id", "device_key", "distance", F.lit("serial_first_retrieval").alias("reason"))
     missing = ev.select("doc_id", F.size("serials").alias("k")).join(kept.select("doc_id").distinct(), "doc_id", "left_anti").join(count, "doc_id", "left")
     reason = F.when(F.col("k") == 0, "missing_serial_not_unique").when(F.col("kept") > most, "device_candidate_limit").otherwise("index_miss")
-    return kept.union(missing.select("doc_id", F.lit(None).cast("string"), F.lit(None).cast("int"), reason))
+    out = settled(kept.union(missing.select("doc_id", F.lit(None).cast("string"), F.lit(None).cast("int"), reason)))
+    spent(found)
+    return out
 
 
-def candidate_pool(readings: DataFrame, facts: DataFrame, devices: DataFrame, most: int = 80, page: int = 60, serials: int = 6) -> DataFrame:
+def candidate_pool(ev: DataFrame, facts: DataFrame, devices: DataFrame, most: int = 80, page: int = 60, serials: int = 6) -> DataFrame:
     """(doc_id, gid, reason): records to assess for each document, those of its retrieved ``devices`` and those that bear a serial it reads.
 
     A serial with ``page`` records or more, more than ``serials`` valid serials, or more than ``most`` records in all
     give none and say so: a shortened list could hide a rival.
     """
-    read = evidence_sets(readings).select("doc_id", F.filter("serials", X.valid_serial).alias("valid"))
+    read = ev.select("doc_id", F.filter("serials", X.valid_serial).alias("valid"))
     held = facts.groupBy("serial").agg(F.count("*").alias("hits"))
     asked = read.select("doc_id", F.size("valid").alias("n"), F.explode_outer("valid").alias("serial")).join(held, "serial", "left")
     over = asked.groupBy("doc_id").agg(((F.max("n") > serials) | F.coalesce(F.max("hits") >= page, F.lit(False))).alias("over"))

@@ -9,7 +9,7 @@ from visitgraph.functions import models as M
 from visitgraph.functions import text as X
 from visitgraph.operators import directory as D
 from visitgraph.operators import index as I
-from visitgraph.operators.linkage import settled
+from visitgraph.operators.tables import settled
 from visitgraph.plans.scalar import DUCK_SITES, joined
 from visitgraph.sources.fixtures import DUCK, work_records
 from visitgraph.sources.pages import read_pages, write_pages

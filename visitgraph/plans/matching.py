@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitgraph.operators import decisions as D
 from visitgraph.operators import linkage as L
+from visitgraph.operators import search as S
+from visitgraph.operators.evidence import keyed
+from visitgraph.operators.tables import settled, spent
 from visitgraph.plans.voting import _EXACT, KEYED
 from visitgraph.sources.fixtures import DUCK, readings, table, work_records
 
@@ -88,56 +94,91 @@ def query(sql: str):
     return add
 
 
-def linked(spark, sf_dir):
-    """(readings, facts, retrieved devices), the last two written to the shared folder as later steps read them again."""
-    r, facts = readings(spark, sf_dir), L.settled(L.record_facts(work_records(spark, sf_dir)))
-    return r, facts, L.settled(L.retrieve_devices(r, facts))
+@dataclass
+class Linked:
+    """What the linkage queries share, each part settled once and deleted by ``close``."""
+
+    readings: DataFrame
+    keys: DataFrame
+    sets: DataFrame
+    parsed: DataFrame
+    facts: DataFrame
+    devices: DataFrame
+
+    def pool(self) -> DataFrame:
+        return L.candidate_pool(self.sets, self.facts, self.devices).where("gid IS NOT NULL").select("doc_id", "gid")
+
+    def types(self) -> DataFrame:
+        return self.parsed.select(F.col("gid").alias("doc_id"), F.col("job_type").alias("doc_type"))
+
+    def close(self, result: DataFrame, *more: DataFrame) -> DataFrame:
+        """``result`` settled; the parts, and ``more``, deleted."""
+        out = settled(result)
+        spent(self.readings, self.keys, self.sets, self.parsed, self.facts, self.devices, *more)
+        return out
+
+
+def linked(spark, sf_dir) -> Linked:
+    r = settled(readings(spark, sf_dir))
+    keys = settled(keyed(r))
+    sets = settled(L.evidence_sets(r, keys))
+    parsed = L.parsed_records(work_records(spark, sf_dir))
+    facts = settled(L.record_facts(parsed))
+    return Linked(r, keys, sets, parsed, facts, L.retrieve_devices(sets, facts))
 
 
 def assessed(spark, sf_dir):
-    """(readings, evidence, assessed pairs)."""
-    r, facts, devices = linked(spark, sf_dir)
-    pool = L.candidate_pool(r, facts, devices).where("gid IS NOT NULL").select("doc_id", "gid")
-    types = L.first_wins(work_records(spark, sf_dir)).select(F.col("gid").alias("doc_id"), L.X.container_type(F.col("project_name")).alias("doc_type"))
-    evidence = L.settled(D.evidence_row(r))
-    return r, evidence, L.settled(D.assess(pool, evidence, facts, types))
+    """(what is linked, evidence, assessed pairs)."""
+    link = linked(spark, sf_dir)
+    evidence = settled(D.evidence_row(link.readings, link.keys))
+    return link, evidence, settled(D.assess(link.pool(), evidence, link.facts, link.types()))
+
+
+def selected(spark, sf_dir) -> DataFrame:
+    link, evidence, pairs = assessed(spark, sf_dir)
+    return link.close(D.select_visit(link.keys, evidence, pairs), evidence, pairs)
 
 
 @query(LINKED + " SELECT doc_id, device_key, distance, reason FROM devices")
 def device_retrieval(spark, sf_dir):
-    return linked(spark, sf_dir)[2].select("doc_id", "device_key", F.col("distance").cast("long").alias("distance"), "reason")
+    link = linked(spark, sf_dir)
+    return link.close(link.devices.select("doc_id", "device_key", F.col("distance").cast("long").alias("distance"), "reason"))
 
 
 @query(LINKED + " SELECT doc_id, gid, 'live_tasks_read' AS reason FROM pool UNION ALL SELECT doc_id, NULL, CASE WHEN over THEN 'task_candidate_limit' ELSE 'no_live_tasks' END FROM state WHERE doc_id NOT IN (SELECT doc_id FROM pool)")
 def candidate_pool(spark, sf_dir):
-    return L.candidate_pool(*linked(spark, sf_dir))
+    link = linked(spark, sf_dir)
+    return link.close(L.candidate_pool(link.sets, link.facts, link.devices))
 
 
 @query(LINKED + " SELECT doc_id, gid, distance, asset_level, has_site, has_model, has_phone, has_contact, score, ok, coalesce(needs_date, false) AS needs_date FROM assessed")
 def record_assessment(spark, sf_dir):
-    a = assessed(spark, sf_dir)[2]
-    return a.select("doc_id", "gid", F.col("distance").cast("long").alias("distance"), F.col("asset_level").cast("long").alias("asset_level"), "has_site", "has_model", "has_phone", "has_contact", F.col("score").cast("long").alias("score"), "ok", F.coalesce("needs_date", F.lit(False)).alias("needs_date"))
+    link, evidence, a = assessed(spark, sf_dir)
+    a = a.select("doc_id", "gid", F.col("distance").cast("long").alias("distance"), F.col("asset_level").cast("long").alias("asset_level"), "has_site", "has_model", "has_phone", "has_contact", F.col("score").cast("long").alias("score"), "ok", F.coalesce("needs_date", F.lit(False)).alias("needs_date"))
+    return link.close(a, evidence)
 
 
 @query(SELECTED + " SELECT doc_id, gid, reason FROM selection")
 def visit_selection(spark, sf_dir):
-    return D.select_visit(*assessed(spark, sf_dir))
+    return selected(spark, sf_dir)
 
 
 @query(LINKED + """ SELECT doc_id, gid, coalesce(distance, 99) AS distance, has_model, has_site, has_phone, asset_level, type_matches, ok, place FROM (
  SELECT *, job_type = doc_type AS type_matches, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(distance, 99), NOT has_model, NOT has_phone, gid) AS place FROM assessed) WHERE place <= 10""")
 def match_diagnostics(spark, sf_dir):
     """The ten candidates nearest to each document, with what speaks for them."""
-    a = assessed(spark, sf_dir)[2].withColumn("distance", F.coalesce(F.col("distance").cast("long"), F.lit(99)))
+    link, evidence, pairs = assessed(spark, sf_dir)
+    a = pairs.withColumn("distance", F.coalesce(F.col("distance").cast("long"), F.lit(99)))
     nearest = D.Window.partitionBy("doc_id").orderBy("distance", ~F.col("has_model"), ~F.col("has_phone"), "gid")
     a = a.withColumn("place", F.row_number().over(nearest).cast("long")).where("place <= 10")
-    return a.select("doc_id", "gid", "distance", "has_model", "has_site", "has_phone", F.col("asset_level").cast("long").alias("asset_level"), (F.col("job_type") == F.col("doc_type")).alias("type_matches"), "ok", "place")
+    a = a.select("doc_id", "gid", "distance", "has_model", "has_site", "has_phone", F.col("asset_level").cast("long").alias("asset_level"), (F.col("job_type") == F.col("doc_type")).alias("type_matches"), "ok", "place")
+    return link.close(a, evidence, pairs)
 
 
 @query(SELECTED + """ SELECT reason, count(*) AS n, count(gid) AS answered, count(*) FILTER (gid = doc_id) AS passed FROM selection GROUP BY 1""")
 def backtest_summary(spark, sf_dir):
     """How many decisions of each reason name the record that a document was made from."""
-    s = D.select_visit(*assessed(spark, sf_dir))
+    s = selected(spark, sf_dir)
     return s.groupBy("reason").agg(F.count("*").alias("n"), F.count("gid").alias("answered"), F.count_if(F.col("gid") == F.col("doc_id")).alias("passed"))
 
 
@@ -158,11 +199,9 @@ def order_lookup(spark, sf_dir):
  + CASE WHEN list_contains(any_site, site) THEN 20 ELSE 0 END + CASE WHEN list_contains(any_model, model) THEN 15 ELSE 0 END + CASE WHEN alike >= 0.9 THEN 8 WHEN alike >= 0.75 THEN 5 ELSE 0 END + CASE WHEN delta <= 3 THEN 50 WHEN delta <= 14 THEN 40 WHEN delta <= 31 THEN 25 ELSE 0 END END AS score
  FROM (SELECT *, list_min(list_transform(any_date, lambda x: abs(datediff('day', due, CAST(x AS DATE))))) AS delta, list_max(list_transform(any_contact, lambda c: 1 - levenshtein(c, contact) / greatest(length(c), length(contact)))) AS alike FROM assessed)""")
 def weighted_scores(spark, sf_dir):
-    r, facts, devices = linked(spark, sf_dir)
-    pool = L.candidate_pool(r, facts, devices).where("gid IS NOT NULL").select("doc_id", "gid")
-    types = L.first_wins(work_records(spark, sf_dir)).select(F.col("gid").alias("doc_id"), L.X.container_type(F.col("project_name")).alias("doc_type"))
-    w = D.weigh(pool, D.evidence_row(r), facts, types)
-    return w.select("doc_id", "gid", *[F.col(c).cast("long").alias(c) for c in ("distance", "delta", "score")])
+    link = linked(spark, sf_dir)
+    w = D.weigh(link.pool(), D.evidence_row(link.readings, link.keys), link.facts, link.types())
+    return link.close(w.select("doc_id", "gid", *[F.col(c).cast("long").alias(c) for c in ("distance", "delta", "score")]))
 
 
 @query(DUCK.rstrip() + r""",
@@ -181,3 +220,31 @@ def case_audit(spark, sf_dir):
     cases = readings(spark, sf_dir).groupBy("doc_id").agg(some("serial").alias("serials"), some("phone").alias("phones"), some("asset").alias("assets"), some("hospital_raw").alias("sites"), F.max("product_raw").alias("product"))
     records = L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes", F.col("due_on").alias("due"))
     return L.audit_cases(cases, records, "1998-01-01").select("doc_id", "gid", F.col("score").cast("long").alias("score"), F.array_join("reasons", ";").alias("reasons"))
+
+
+#: Records by the runs of characters that a term begins with, checked by containment.
+SEARCHED = LINKED + r""",
+bodies AS MATERIALIZED (SELECT f.gid, regexp_replace(upper(concat(w.name, chr(10), w.notes)), '[^A-Z0-9]', '', 'g') AS body FROM first_parts f JOIN work_records w ON w.gid = f.gid AND w.ord1 = f.ord1 AND w.ord2 = f.ord2),
+wanted AS (SELECT doc_id, unnest(list_concat(list_concat(list_concat(list_concat(two_site, flatten(list_transform(two_site, lambda s: list_transform(two_model, lambda m: s || m)))), list_concat(two_order, list_concat(serials, list_transform(list_filter(serials, lambda s: length(s) >= 8), lambda s: s[1:8])))), list_filter(any_phone, lambda p: length(p) = 8)), list_filter(any_asset, lambda a: length(a) >= 6))) AS term, true AS asks FROM es
+ UNION ALL SELECT doc_id, unnest(two_model), false FROM es),
+all_terms AS MATERIALIZED (SELECT doc_id, term, bool_or(asks) AS asks FROM wanted WHERE term <> '' GROUP BY ALL),
+spots AS (SELECT gid, body, unnest(range(1, length(body) - 1)) AS i FROM bodies),
+begins AS (SELECT DISTINCT gid, body, substr(body, i, 3) AS h FROM spots UNION ALL SELECT DISTINCT gid, body, substr(body, i, 8) AS h FROM spots WHERE i + 7 <= length(body)),
+found_in AS MATERIALIZED (SELECT term, gid FROM (SELECT DISTINCT term, CASE WHEN length(term) >= 8 THEN term[1:8] ELSE term[1:3] END AS h FROM all_terms WHERE asks AND length(term) >= 3) t JOIN begins USING (h) WHERE contains(body, term)),
+full_terms AS (SELECT term FROM found_in GROUP BY 1 HAVING count(*) >= 60),
+met AS (SELECT DISTINCT doc_id, gid FROM all_terms JOIN found_in USING (term) WHERE asks AND term NOT IN (SELECT term FROM full_terms)),
+about AS (SELECT doc_id, list(term) AS ts, coalesce(string_agg(term, ';' ORDER BY term) FILTER (asks AND term IN (SELECT term FROM full_terms)), '') AS overfull FROM all_terms GROUP BY 1),
+told AS (SELECT doc_id, gid, len(list_filter(ts, lambda t: contains(body, t))) AS hits FROM met JOIN about USING (doc_id) JOIN bodies USING (gid)),
+first_40 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, gid) AS place FROM told) WHERE place <= 40)"""
+
+
+@query(SEARCHED + " SELECT e.doc_id, t.gid, t.hits, t.place, coalesce(a.overfull, '') AS overfull FROM es e LEFT JOIN about a USING (doc_id) LEFT JOIN first_40 t USING (doc_id)")
+def text_search_pool(spark, sf_dir):
+    """Every document's evidence looked up in the text of all records."""
+    r = settled(readings(spark, sf_dir))
+    evidence = settled(D.evidence_row(r, keyed(r)))
+    asks = evidence.select("doc_id", F.col("two_site").alias("sites"), F.col("two_model").alias("models"), F.col("two_order").alias("orders"), F.array_union("any_serial", "any_visual").alias("serials"), F.col("any_phone").alias("phones"), F.col("any_asset").alias("assets"))
+    records = settled(L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes"))
+    out = settled(S.text_search_pool(asks, records))
+    spent(r, evidence, records)
+    return out

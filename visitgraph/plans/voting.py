@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from visitgraph.functions import models as M
 from visitgraph.operators import evidence as E
 from visitgraph.plans.scalar import _MODEL_SQL, _SITES, joined
+from visitgraph.operators.tables import settled
 from visitgraph.sources.fixtures import DUCK, readings
 
 QUERIES, SQL = {}, {}
@@ -29,7 +30,7 @@ keyed AS (SELECT * FROM (SELECT doc_id, round, page, source, unnest(['serial_can
 
 def query(sql: str):
     def add(f):
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(readings(spark, sf_dir))
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(E.keyed(settled(readings(spark, sf_dir))))
         SQL[f.__name__] = KEYED + sql
         return f
 
@@ -80,5 +81,5 @@ SQL["crosspage_conflicts"] = KEYED + ", rep AS (SELECT doc_id, field, page, key
 
 @query("""SELECT doc_id, asset FROM (SELECT doc_id, key AS asset, count(*) OVER (PARTITION BY doc_id) AS rivals FROM keyed WHERE field = 'asset_candidates' GROUP BY doc_id, key HAVING count(DISTINCT round) >= 2) WHERE rivals = 1""")
 def repeated_identifier_agreement(d):
-    per = E.keyed(d).where("field = 'asset_candidates'").groupBy("doc_id", "key").agg(F.count_distinct("round").alias("n")).where("n >= 2")
+    per = d.where("field = 'asset_candidates'").groupBy("doc_id", "key").agg(F.count_distinct("round").alias("n")).where("n >= 2")
     return per.groupBy("doc_id").agg(F.count("*").alias("rivals"), F.min("key").alias("asset")).where("rivals = 1").select("doc_id", "asset")
