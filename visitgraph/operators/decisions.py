@@ -64,13 +64,13 @@ def assess(pool: DataFrame, evidence: DataFrame, facts: DataFrame, types: DataFr
     return d.withColumns({"score": score, "ok": F.coalesce(ok, F.lit(False)), "needs_date": (F.col("distance") == 1) & no_site & ~(exact & lone)})
 
 
-def select_visit(keys: DataFrame, evidence: DataFrame, assessed: DataFrame, window: int = 14, gap: int = 15) -> DataFrame:
+def select_visit(keys: DataFrame, evidence: DataFrame, assessed: DataFrame, window: int = 14, gap: int = 15, prior: bool = True) -> DataFrame:
     """(doc_id, gid, reason): the one visit that a document records, or null and the first rule that refused.
 
     Order of rules: conflicting models; no confirmed record; pages of different sites or models; conflicting or unmet
     order numbers; devices within ``gap`` points; conflicting dates; with a date, visits within ``window`` days, of which
-    the nearest must be alone or ``gap`` ahead; without one, a single visit in the months around the reference day.
-    Ties refuse. Every document keeps a row.
+    the nearest must be alone or ``gap`` ahead; without one, a single visit in the months around the reference day, but
+    only if ``prior`` allows that. Ties refuse. Every document keeps a row.
     """
     pages = crosspage_conflicts(keys).groupBy("doc_id").agg(F.bool_or("conflict").alias("mixed"))
     docs = evidence.join(pages, "doc_id", "left").select("doc_id", "reference_day", (F.coalesce("mixed", F.lit(False))).alias("mixed"), ((F.size("two_model_name") > 1) & F.arrays_overlap("two_model_name", F.array(*map(F.lit, M.EXACT_ONLY)))).alias("models"), F.size("two_order").alias("orders"), F.size("two_date").alias("dates"), F.to_date(F.try_element_at("two_date", F.lit(1))).alias("day"))
@@ -99,6 +99,8 @@ def select_visit(keys: DataFrame, evidence: DataFrame, assessed: DataFrame, wind
         .when(F.col("day").isNotNull() & F.coalesce(tied, F.lit(False)), "live_visits_tied")
         .when(F.col("day").isNotNull(), "action_date_live_visit_confirmed")
         .when(F.col("needs_date"), "missing_hospital_fuzzy_needs_action_date")
+        .when(F.col("reference_day").isNull(), "upload_date_unknown")
+        .when(F.lit(not prior), "need_crosspage_before_upload_prior")
         .when(F.col("in_month") != 1, "upload_prior_not_unique")
         .otherwise("upload_prior_live_visit_confirmed")
     )

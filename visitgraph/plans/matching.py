@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from visitgraph.operators import decisions as D
 from visitgraph.operators import linkage as L
 from visitgraph.operators import search as S
+from visitgraph.operators import stages as T
 from visitgraph.operators.evidence import keyed
 from visitgraph.operators.tables import settled, spent
 from visitgraph.plans.voting import _EXACT, KEYED
@@ -248,3 +249,27 @@ def text_search_pool(spark, sf_dir):
     out = settled(S.text_search_pool(asks, records))
     spent(r, evidence, records)
     return out
+
+
+def prefix_sql(rounds: int, prior: bool) -> str:
+    """The selection from the first ``rounds`` rounds alone."""
+    sql = SELECTED.replace("rounds AS (SELECT 1 AS r UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4)", "rounds AS (" + " UNION ALL ".join(f"SELECT {r} AS r" for r in range(1, rounds + 1)) + ")")
+    if not prior:
+        sql = sql.replace("WHEN coalesce(m.n, 0) <> 1 THEN 'upload_prior_not_unique' ELSE 'upload_prior_live_visit_confirmed' END", "ELSE 'need_crosspage_before_upload_prior' END")
+    return sql + " SELECT doc_id, gid, reason FROM selection"
+
+
+@query(f"""WITH a AS ({prefix_sql(2, False)}), b AS ({prefix_sql(3, False)}), c AS ({prefix_sql(4, True)}),
+j AS (SELECT c.doc_id, a.gid AS g1, a.reason AS r1, b.gid AS g2, b.reason AS r2, c.gid AS g3, c.reason AS r3 FROM c JOIN a USING (doc_id) JOIN b USING (doc_id))
+SELECT doc_id, coalesce(g1, g2, g3) AS gid, CASE WHEN g1 IS NOT NULL THEN r1 WHEN g2 IS NOT NULL THEN r2 ELSE r3 END AS reason, CASE WHEN g1 IS NOT NULL THEN 1 WHEN g2 IS NOT NULL THEN 2 ELSE 3 END AS stage,
+ concat('1:', r1, CASE WHEN g1 IS NULL THEN concat(';2:', r2, CASE WHEN g2 IS NULL THEN concat(';3:', r3) ELSE '' END) ELSE '' END) AS trace FROM j""")
+def staged_match(spark, sf_dir):
+    """Two rounds of the cover first, then the third, then the last page with the month prior."""
+    r = settled(readings(spark, sf_dir))
+    keys = settled(keyed(r))
+    parsed = L.parsed_records(work_records(spark, sf_dir))
+    facts = settled(L.record_facts(parsed))
+    types = parsed.select(F.col("gid").alias("doc_id"), F.col("job_type").alias("doc_type"))
+    out, _ = T.staged_match(r, keys, facts, types)
+    spent(r, keys, parsed, facts)
+    return out
