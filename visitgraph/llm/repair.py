@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import product
 
 import numpy as np
@@ -197,6 +198,21 @@ def to_bytes(m: Matrix) -> bytes:
     return np.array(m.cost, "<i8").tobytes() + np.array(m.rank, np.int8).tobytes()
 
 
+@lru_cache(100_000)
+def known(raw: bytes) -> Matrix:
+    """``from_bytes``, each matrix once: most conversations are like others."""
+    return from_bytes(raw)
+
+
+def stretches(keys: pd.Series) -> Iterator[tuple[str, int, int]]:
+    """(key, from, to) of the runs of equal keys."""
+    x = keys.to_numpy()
+    cuts = [0, *(np.flatnonzero(x[1:] != x[:-1]) + 1).tolist(), len(x)]
+    for a, z in zip(cuts, cuts[1:]):
+        if z > a:
+            yield x[a], a, z
+
+
 def from_bytes(raw: bytes) -> Matrix:
     return Matrix(np.frombuffer(raw[:128], "<i8").reshape(4, 4).tolist(), np.frombuffer(raw[128:], np.int8).reshape(4, 4).tolist())
 
@@ -239,11 +255,10 @@ def segments_of(rows: DataFrame) -> DataFrame:
 
         here, seq, before, held, size = TaskContext.get().partitionId(), 0, None, [], 0
 
-        def segment(c: str, x: pd.DataFrame) -> list:
+        def segment(c: str, turns: list, unset: list, roles: list, hashes: list, flags: zip) -> list:
             nonlocal seq, before
-            turns, unset, roles, hashes = x["turn"].tolist(), x["unset"].tolist(), x["role"].tolist(), x["h"].tolist()
-            symbols, counts, kinds, seen = np.full(len(x), ABSENT, np.uint8), [0, 0, 0], [], []
-            for i, (present, blank, cut, first) in enumerate(zip(x["present"], x["blank"], x["truncated"], x["first"], strict=True)):
+            symbols, counts, kinds, seen = bytearray([ABSENT]) * len(turns), [0, 0, 0], [], []
+            for i, (present, blank, cut, first) in enumerate(flags):
                 if not present:
                     continue
                 row = c, unset[i], turns[i], roles[i], hashes[i]
@@ -252,14 +267,12 @@ def segments_of(rows: DataFrame) -> DataFrame:
                 kinds.append(ROLES[kind] if kind >= 0 else "x")
                 if not unset[i]:
                     seen.append(turns[i])
-                for k, hit in enumerate((blank, repeated, cut)):
-                    if hit:
-                        counts[k] += 1
-                        break
+                if blank or repeated or cut:
+                    counts[0 if blank else 1 if repeated else 2] += 1
                 symbols[i] = GONE if blank or repeated else (kind if kind >= 0 else 3) + (4 if cut else 0)
             illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(kinds, kinds[1:]))
             seq += 1
-            return [c, here, seq, symbols.tobytes(), turns, unset, roles, hashes, *counts, illegal, kinds[0] if kinds else None, kinds[-1] if kinds else None, seen[0] if seen else None, seen[-1] if seen else None, len(set(seen))]
+            return [c, here, seq, bytes(symbols), turns, unset, roles, hashes, *counts, illegal, kinds[0] if kinds else None, kinds[-1] if kinds else None, seen[0] if seen else None, seen[-1] if seen else None, len(set(seen))]
 
         def flushed() -> pd.DataFrame:
             found = evaluated([np.frombuffer(s[3], np.uint8) for s in held])
@@ -267,10 +280,12 @@ def segments_of(rows: DataFrame) -> DataFrame:
             return out.astype({"low": "Int64", "high": "Int64"})
 
         for frame in runs(parts, ["c"], LENGTH):
-            for c, x in frame.groupby("c", sort=False):
-                for at in range(0, len(x), LENGTH):
-                    held.append(segment(c, x.iloc[at : at + LENGTH]))
-                    size += len(held[-1][4])
+            cols = [frame[k].tolist() for k in ("turn", "unset", "role", "h", "present", "blank", "truncated", "first")]
+            for c, a, z in stretches(frame["c"]):
+                for at in range(a, z, LENGTH):
+                    part = [col[at : min(at + LENGTH, z)] for col in cols]
+                    held.append(segment(c, *part[:4], zip(*part[4:], strict=True)))
+                    size += len(part[0])
             if size >= BLOCK:
                 yield flushed()
                 held, size = [], 0
@@ -286,8 +301,11 @@ def solved(segments: DataFrame) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in runs(parts, ["c"]):
             out = []
-            for c, x in frame.groupby("c", sort=False):
-                mats = [from_bytes(m) for m in x["matrix"]]
+            cols = {k: frame[k].tolist() for k in ("part", "seq", "blank", "duplicate", "truncated", "illegal", "head", "tail", "turned")}
+            cols |= {k: frame[k].astype("Int64").tolist() for k in ("low", "high")}
+            for c, a, z in stretches(frame["c"]):
+                x = {k: col[a:z] for k, col in cols.items()}
+                mats = [from_bytes(m) for m in frame["matrix"].iloc[a:z]] if z - a > 1 else [known(frame["matrix"].iat[a])]
                 so_far = [mats[0]]
                 for m in mats[1:]:
                     so_far.append(times(so_far[-1], m))
@@ -298,19 +316,18 @@ def solved(segments: DataFrame) -> DataFrame:
                     states.append(at)
                     at = m.via[START][at] if m.sides else START
                 states = [START, *states[::-1]]
-                illegal, distinct, tail, high = int(x["illegal"].sum()), int(x["turned"].sum()), None, None
-                for a, z, lo, hi in zip(x["head"], x["tail"], x["low"].astype("Int64"), x["high"].astype("Int64"), strict=True):
-                    if a is not None:
-                        illegal += tail is not None and tail + a not in ("su", "ua", "au")
-                        tail = z
+                illegal, distinct, tail, low, high = sum(x["illegal"]), sum(x["turned"]), None, None, None
+                for first, last, lo, hi in zip(x["head"], x["tail"], x["low"], x["high"], strict=True):
+                    if first is not None:
+                        illegal += tail is not None and tail + first not in ("su", "ua", "au")
+                        tail = last
                     if lo is not pd.NA:
                         distinct -= high is not None and lo == high
-                        high = hi
-                lows = [v for v in x["low"].astype("Int64") if v is not pd.NA]
-                gaps = int(high) - int(lows[0]) + 1 - distinct if lows else 0
-                sums = [gaps, *(int(x[k].sum()) for k in ("blank", "duplicate", "truncated")), illegal, cost]
+                        low, high = lo if low is None else low, hi
+                gaps = high - low + 1 - distinct if low is not None else 0
+                sums = [gaps, sum(x["blank"]), sum(x["duplicate"]), sum(x["truncated"]), illegal, cost]
                 for i, (part, seq) in enumerate(zip(x["part"], x["seq"], strict=True)):
-                    last = i + 1 == len(x)
+                    last = i + 1 == z - a
                     out.append([c, part, seq, states[i], states[i + 1], last, *(sums if last else [0] * 6)])
             yield pd.DataFrame(out, columns=[x.split()[0] for x in SOLVED.split(", ")])
 
