@@ -289,11 +289,25 @@ def test_toxicity(spark, docs, empty):
     rng = np.random.default_rng(2)
     say = lambda bad: " ".join(rng.choice(WORDS, 60).tolist() + (["horridword", "vileterm"] if bad else [])) + " " + " ".join(rng.choice(WORDS, 9))
     texts, y = [say(i % 3 == 0) for i in range(240)], [int(i % 3 == 0) for i in range(240)]
-    m = toxicity.fit(texts, y, ratio=3.0)
+    m = toxicity.fit(texts, y)
     right = [(m.score(say(bad)) >= 0.5) == bad for bad in (True, False) * 30]
     assert sum(right) >= 54
     assert all(0 <= m.score(t) <= 1 for t in (None, "", "x" * 300_000)) and toxicity.fit([], []).score("a") == 0.0
-    assert quality.score_documents(empty, m).count() == 0
+    with pytest.warns(UserWarning, match="no dictionary"):
+        assert toxicity.fit(["a b"] * 9 + ["c d"], [0] * 9 + [1]).score("c d") == 0.1
+    scored = quality.score_documents(empty, m)
+    assert scored.count() == 0 and "score" in scored.columns
+
+
+def test_toxicity_held_out(spark):
+    """The query's own parameters on a given table: recall, precision and rank on the fold that no label was learned from."""
+    sf_dir = "/root/testdata/sf0.1"
+    got = toxicity.op10_toxicity(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic IS NOT NULL"), "doc_id").where("held_out").select("toxic", "score", "predicted").toPandas()
+    bad, ok = got[got.toxic == 1], got[got.toxic == 0]
+    assert bad.predicted.mean() >= 0.75 and ok.predicted.mean() <= 0.05
+    ranks = got.score.rank()
+    auc = (ranks[got.toxic == 1].sum() - len(bad) * (len(bad) + 1) / 2) / (len(bad) * len(ok))
+    assert auc >= 0.9
 
 
 def test_pipeline_stages(spark):

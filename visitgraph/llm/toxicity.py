@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,9 +10,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitgraph.llm.quality import held_out, platt, score_documents, training_rows
+from visitgraph.llm.quality import held_out, score_documents, training_rows
 
-LEVEL, MIN_MATCH = 3, 5
+LEVEL, MIN_MATCH = 12, 4
 
 
 def windows(text: str | None, size: int) -> list[bytes]:
@@ -46,106 +47,140 @@ def lengths(c: zstandard.ZstdCompressor, parts: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Both dictionaries, and the calibration of a text's window gains."""
+    """Both dictionaries, and the calibration of a text's window gains; without dictionaries every score is the prior."""
 
     toxic: bytes
     ordinary: bytes
     size: int
-    tops: tuple[float, ...]
-    slope: float
-    shift: float
+    weights: tuple[float, ...]
     prior: float
     _made: tuple | None = None
 
     def __getstate__(self):
         return self.__dict__ | {"_made": None}
 
-    def gains(self, text: str | None) -> np.ndarray:
+    def gains(self, parts: list[bytes]) -> np.ndarray:
         """Bytes that the toxic dictionary saves over the ordinary one, by window."""
-        self._made = self._made or (_compressor(self.ordinary), _compressor(self.toxic))
-        parts = windows(text, self.size)
+        self._made = self._made or (_compressor(self.ordinary), _compressor(self.toxic + self.ordinary))
         return lengths(self._made[0], parts) - lengths(self._made[1], parts)
 
-    def margin(self, text: str | None) -> float:
-        return features(self.gains(text)) @ np.asarray(self.tops)
-
     def score(self, text: str | None) -> float:
         if not self.toxic or not (text or "").strip():
             return self.prior
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(text) + self.shift, -30, 30))))
+        z = features(self.gains(windows(text, self.size))) @ np.asarray(self.weights[:-1]) + self.weights[-1]
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def features(gains: np.ndarray) -> np.ndarray:
-    """The largest, second and third largest gain of a text, and its mean."""
+    """The three largest gains of a text, how many reach 2, 3, 4 and 6 bytes against its length, and its length."""
     top = np.zeros(3)
     g = np.sort(gains)[::-1][:3]
     top[: g.size] = np.maximum(g, 0)
-    return np.array([*top, gains.mean() if gains.size else 0.0])
+    return np.array([*top, *((gains >= t).sum() / np.sqrt(len(gains) + 4) for t in (2, 3, 4, 6)), np.sqrt(len(gains))])
 
 
-def train(samples: list[bytes], size: int) -> bytes:
-    """A zstandard dictionary of at most ``size`` bytes; with too few samples for its trainer (it refuses them), the end of the samples themselves."""
+def train(parts: list[bytes], size: int) -> bytes:
+    """A zstandard dictionary of at most ``size`` bytes from windows, with the spaces around them; empty if its trainer has too few."""
+    parts = [b" " + p + b" " for p in parts]
     try:
-        return zstandard.train_dictionary(size, samples, k=32, d=6, level=LEVEL).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b" ".join(samples)[-size:]
+        return zstandard.train_dictionary(min(size, max(256, sum(map(len, parts)) // 2)), parts, k=16, d=8, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:
+        return b""
 
 
-def distilled(texts: list[str | None], y: np.ndarray, ratio: float, least: int) -> list[bytes]:
-    """Toxic texts reduced to the words found after ``least`` different words or more there, ``ratio`` times as often as in ordinary texts.
+def telling(dictionary: bytes, toxic: list[bytes], ordinary: list[bytes], base: bytes, piece: int = 16, least: float = 3.0, times: float = 4.0) -> bytes:
+    """Those pieces of a toxic dictionary that alone save more on toxic windows than on ordinary ones, the best last.
 
-    Toxic texts are mostly ordinary prose, on which both dictionaries would come out alike. Left neighbours are counted
-    rather than texts, so that copies of one text don't make all of its words look toxic.
+    A piece stays if its mean saving is ``least`` standard errors above that on ordinary windows, and ``times`` it.
     """
-    seen: list[dict] = [{}, {}]
-    runs = [(t or "").lower().encode().split() for t in texts]
-    for ws, t in zip(runs, y, strict=True):
-        for before, w in zip([b"", *ws], ws):
-            seen[int(t)].setdefault(w, set()).add(before)
-    n = [max(1, sum(map(len, side.values()))) for side in seen]
-    odd = {w for w, c in seen[1].items() if len(c) >= least and len(c) / n[1] > ratio * (len(seen[0].get(w, ())) + 0.5) / n[0]}
-    kept = [[w for w in ws if w in odd] for ws, t in zip(runs, y, strict=True) if t]
-    return [b" " + b" ".join(ws) + b" " for ws in kept if ws]
-
-
-def fit(texts: list[str | None], labels: list[int], size: int = 64, dictionary: int = 4096, common: int = 8192, ratio: float = 20.0, least: int = 5, seed: int = 5, max_windows: int = 20_000) -> Model:
+    plain = _compressor(base)
+    before, usual = lengths(plain, toxic), lengths(plain, ordinary)
+    good = []
+    for at in range(0, len(dictionary) - piece + 1, piece // 2):
+        part = dictionary[at : at + piece]
+        c = _compressor(part + base)
+        saved = before - lengths(c, toxic)
+        if (saved > 0).sum() < 3:
+            continue
+        lost = usual - lengths(c, ordinary)
+        z = (saved.mean() - lost.mean()) / np.sqrt(saved.var() / len(saved) + lost.var() / len(lost) + 1e-9)
+        if z >= least and saved.mean() > times * max(lost.mean(), 0.0):
+            good.append((z, part))
+    return b"".join(part for _, part in sorted(good))
+
+
+def fit(texts: list[str | None], labels: list[int], size: int = 96, dictionary: int = 4096, common: int = 65536, rounds: int = 8, keep: int = 3, seed: int = 5, max_windows: int = 40_000, checked: int = 2000, balance: float = 0.75) -> Model:
     """The model from labelled texts (1 toxic).
 
-    The ordinary dictionary has at most ``common`` bytes trained on ordinary text (at most ``max_windows`` windows of
-    it, drawn at random: a bound on the sample that is fitted, not on what is scored). The toxic one has these too, and then
-    at most ``dictionary`` bytes trained on distilled toxic text. Every fifth text only calibrates: a
-    logistic fit on its windows' gains gives weights and threshold.
+    A toxic text is mostly ordinary prose: its label says that some window is toxic. So toxic texts are halved, and in
+    each of ``rounds`` a dictionary trained on the windows of one half chooses the other half's: the ``keep`` windows
+    of each text on which it saves most over the ordinary dictionary (trained on at most ``max_windows`` ordinary
+    windows, drawn at random). What both halves share comes through. The toxic dictionary, at most ``dictionary`` bytes,
+    is trained on the windows chosen last; its ``telling`` pieces stay, held against ``checked`` ordinary windows.
+
+    Every fifth text only calibrates: a logistic fit on its windows' gains, toxic texts weighing more by the class
+    ratio to the power ``balance``. The bounds are on what is fitted, never on what is scored. With one class only, or
+    too little text for the trainer (a warning tells), every score is the share of toxic texts.
     """
     y = np.asarray(labels) == 1
-    prior = float(np.clip(y.mean() if len(y) else 0.0, 0.0, 1.0))
+    prior = float(y.mean()) if len(y) else 0.0
+    none = Model(b"", b"", size, (), prior)
+
+    def untrained(why: str) -> Model:
+        warnings.warn(f"no dictionary: {why}; every score is {prior}", stacklevel=3)
+        return none
+
     if len(set(y)) < 2:
-        return Model(b"", b"", size, (0, 0, 0, 0), 0.0, 0.0, prior)
+        return untrained("labels of one class only")
     held = np.arange(len(texts)) % 5 == 4
-    plain = [w for t, bad, h in zip(texts, y, held, strict=True) if not bad and not h for w in windows(t, 512)]
-    order = np.random.default_rng(seed).permutation(len(plain))
-    plain = [plain[i] for i in order[:max_windows]]
-    odd = distilled([t for t, h in zip(texts, held, strict=True) if not h], y[~held], ratio, least)
+    parts = [windows(t, size) for t in texts]
+    rng = np.random.default_rng(seed)
+    plain = [w for ws, bad, h in zip(parts, y, held, strict=True) if not bad and not h for w in ws]
+    plain = [plain[i] for i in rng.permutation(len(plain))[:max_windows]]
     base = train(plain, common)
-    out = Model(base + train(odd, dictionary), base, size, (1, 1, 1, 0), 1.0, 0.0, prior)
-    x = np.array([features(out.gains(t)) for t, h in zip(texts, held, strict=True) if h])
-    out.tops = tuple(map(float, logistic(x, y[held])))
-    out.slope, out.shift = platt(x @ np.asarray(out.tops), y[held])
+    bad = [i for i in range(len(texts)) if y[i] and not held[i]]
+    if not base or len(bad) < 2 or len(set(y[held])) < 2:
+        return untrained("too few labelled texts")
+    usual = _compressor(base)
+    before = {i: lengths(usual, parts[i]) for i in bad}
+    chosen = {i: parts[i] for i in bad}
+    for _ in range(rounds):
+        other = [train([w for i in bad[1 - h :: 2] for w in chosen[i]], dictionary) for h in (0, 1)]
+        if not all(other):
+            return untrained("too few toxic windows")
+        new = {}
+        for h in (0, 1):
+            c = _compressor(other[h] + base)
+            for i in bad[h::2]:
+                saved = before[i] - lengths(c, parts[i])
+                new[i] = [parts[i][j] for j in np.argsort(-saved, kind="stable")[:keep] if saved[j] > 0]
+        chosen = new
+    toxic = [w for i in bad for w in chosen[i]]
+    found = train(toxic, dictionary) if toxic else b""
+    found = telling(found, toxic, plain[:checked], base[-8192:]) if found else b""
+    if not found:
+        return untrained("no piece of it tells toxic from ordinary windows")
+    out = Model(found, base, size, (), prior)
+    x = np.array([features(out.gains(parts[i])) for i in np.flatnonzero(held)])
+    out.weights = tuple(map(float, logistic(x, y[held], balance)))
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Weights (without the intercept) of a logistic fit with a little shrinkage."""
+def logistic(x: np.ndarray, y: np.ndarray, balance: float, steps: int = 300) -> np.ndarray:
+    """Weights and intercept of a logistic fit with a little shrinkage, the rarer class weighing more."""
     a = np.column_stack((x, np.ones(len(x))))
-    w = np.zeros(a.shape[1])
+    scale = np.append(np.maximum(x.std(axis=0), 1e-9), 1.0)
+    a, w, shrink = a / scale, np.zeros(a.shape[1]), np.append(np.full(x.shape[1], 0.1), 0.0)
+    weight = np.where(y, ((~y).sum() / y.sum()) ** balance, 1.0)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        g = a.T @ (p - y) + 0.1 * w
-        h = (a * (p * (1 - p) + 1e-9)[:, None]).T @ a + 0.1 * np.eye(a.shape[1])
+        g = a.T @ (weight * (p - y)) + shrink * w
+        h = (a * (weight * p * (1 - p) + 1e-9)[:, None]).T @ a + 0.1 * np.eye(a.shape[1])
         d = np.linalg.solve(h, g)
         w -= np.clip(d, -2, 2)
         if abs(d).max() < 1e-8:
             break
-    return w[:-1]
+    return w / scale
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 8000) -> Model:
