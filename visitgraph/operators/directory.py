@@ -75,6 +75,44 @@ def location_directory(records: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(used, "site_key")
 
 
+#: Codes that were misread before, which no frequency makes plausible.
+NEVER = ("PN", "KWM", "PYTV")
+
+
+def known_names(directory: DataFrame) -> DataFrame:
+    """(site_key, enabled, devices, name, name_key, sure) of every name in a ``location_directory``; unconfirmed ones aren't ``sure``."""
+    name = lambda c, sure: F.transform(c, lambda n: F.struct(n.alias("name"), F.lit(sure).alias("sure")))
+    every = F.concat(name(F.array("canonical"), True), name("confirmed", True), name("learned", True), name("unconfirmed", False))
+    d = directory.select("site_key", "enabled", "devices", F.explode(every).alias("n")).select("site_key", "enabled", "devices", "n.name", X.key(F.col("n.name")).alias("name_key"), "n.sure")
+    return d.where("name_key <> ''").distinct()
+
+
+def plausible_codes(directory: DataFrame, least: int = 2) -> DataFrame:
+    """(code): short codes in any group seen on ``least`` devices or more. Worth keeping in a reading, not a confirmed site."""
+    n = known_names(directory).where(F.col("devices") >= least)
+    return n.where(F.col("name_key").rlike("^[A-Z]{2,6}$") & ~F.col("name_key").isin(*NEVER)).select(F.col("name_key").alias("code")).distinct()
+
+
+def site_alias_sets(locations: DataFrame, directory: DataFrame) -> DataFrame:
+    """(location, aliases, groups, plausible) of every distinct location text.
+
+    ``aliases``: its own name, canonical code and acronym (an unknown short code has none), and all sure names of the
+    enabled group that has its name, if that is one group only; a name in several groups is refused, as either could be
+    meant. ``groups`` counts them. ``plausible``: a short code that the directory knows from two devices.
+    """
+    p = places(locations).where("core <> ''")
+    own = F.when(F.col("core").rlike("^[A-Za-z]{2,6}$") & F.col("site").isNull(), F.expr(NONE)).otherwise(X.unique(F.array("core", X.text_of(F.col("site")), X.text_of(X.acronym(F.col("core"))))))
+    names = known_names(directory)
+    sure = names.where("enabled AND sure")
+    found = p.select("core_key").distinct().join(sure.select(F.col("name_key").alias("core_key"), "site_key").distinct(), "core_key")
+    groups = found.groupBy("core_key").agg(F.count("*").alias("groups"), F.min("site_key").alias("site_key"))
+    one = groups.where("groups = 1").join(sure.groupBy("site_key").agg(F.collect_set("name").alias("names")), "site_key").select("core_key", "names")
+    codes = plausible_codes(directory).select(F.col("code").alias("core_key"), F.lit(True).alias("plausible"))
+    d = p.withColumn("own", own).join(groups.select("core_key", "groups"), "core_key", "left").join(one, "core_key", "left").join(codes, "core_key", "left")
+    aliases = F.array_sort(F.array_distinct(F.concat("own", F.coalesce("names", F.expr(NONE)))))
+    return d.select("location", aliases.alias("aliases"), F.coalesce("groups", F.lit(0)).alias("groups"), F.coalesce("plausible", F.lit(False)).alias("plausible"))
+
+
 def strong_models(records: DataFrame) -> DataFrame:
     """(serial, variant, status, reason, name): the distinct models of devices with a serial, judged once per spelling."""
     own = records.where("NOT weak_identity AND serial <> '' AND variant <> ''").select("serial", "variant").distinct()

@@ -17,17 +17,22 @@ def plausible_site(c: Column) -> Column:
     def judged(k: Column) -> Column:
         return F.when(k.rlike("^[A-Z]{2,6}$"), k.isin(*M.SITES)).otherwise((F.length(k) >= 5) & ~k.rlike("^[0-9]+$"))
 
-    core = X.key(F.split(F.trim(X.text_of(c)), r"[,/\-]", 2)[0])
-    return ~X.text_of(c).rlike(r"(?i)\bASSET\b") & X.bind(core, judged)
+    return ~X.text_of(c).rlike(r"(?i)\bASSET\b") & X.bind(site_core(c), judged)
 
 
-def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: int = 7) -> DataFrame:
+def site_core(c: Column) -> Column:
+    """The key of a site text's first part."""
+    return X.key(F.split(F.trim(X.text_of(c)), r"[,/\-]", 2)[0])
+
+
+def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: int = 7, codes: DataFrame | None = None) -> DataFrame:
     """``raw`` with its fields checked and an array ``rejections`` of (field, reason) beside them.
 
     Texts: order_no, product_raw, hospital_raw, contact_person_raw, department_room_raw, service_date_raw, date_source;
     arrays of texts: serials, phones, assets, work_orders; and the date reference_day. Words for nothing count as null.
     A list keeps its first ``most`` values and says so. What fails its check is emptied, never mended: readings keep
-    only what can be evidence. Added: visual_serials (serial-like tokens, valid or not), product, service_date.
+    only what can be evidence. ``codes`` (code) are short site codes that an index has taught: text for cross-checks, still
+    told as unconfirmed. Added: visual_serials (serial-like tokens, valid or not), product, service_date.
     """
     said = lambda c: F.when(~F.lower(F.trim(c)).isin(*NOTHING), F.trim(c))
     texts = ("order_no", "product_raw", "hospital_raw", "contact_person_raw", "department_room_raw", "service_date_raw", "date_source")
@@ -36,6 +41,11 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
     d = raw.withColumns({**{c: said(F.col(c)) for c in texts}, **{f"_over_{c}": F.size(F.coalesce(F.col(c), F.expr(X.NO_STRINGS))) > most for c in lists}, **{c: F.slice(clean(c), 1, most) for c in lists}})
     labels = d.select("product_raw").where("product_raw IS NOT NULL").distinct().withColumn("_model", X.model(F.col("product_raw")))
     d = d.join(labels, "product_raw", "left")
+    if codes is None:
+        d = d.withColumn("_taught", F.lit(False))
+    else:
+        taught = codes.select(F.col("code").alias("_core"), F.lit(True).alias("_taught")).distinct()
+        d = d.withColumn("_core", site_core(F.col("hospital_raw"))).join(taught, "_core", "left").drop("_core").withColumn("_taught", F.coalesce("_taught", F.lit(False)))
     order, day = X.digits(F.col("order_no")), X.action_date(F.col("service_date_raw"))
     contact = F.regexp_replace(F.regexp_replace(F.col("contact_person_raw"), r"\s+", " "), r"^[ ,;/#_-]+|[ ,;/#_-]+$", "")
     phone = lambda a: F.transform(a, lambda x: X._local(X.digits(x)))
@@ -51,7 +61,7 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
         ("order_no", F.when(has("order_no") & ~F.col("_order").rlike(r"^[56]\d{7}$"), "invalid_order_format")),
         ("serials", F.when(F.exists("serials", lambda x: ~X.valid_serial(x)), "invalid_serial_format")),
         ("product_raw", F.when(has("product_raw") & ~known, "unconfirmed_product")),
-        ("hospital_raw", F.when(has("hospital_raw") & ~plausible_site(F.col("hospital_raw")), "unconfirmed_hospital_or_wrong_field").when(has("hospital_raw") & X.site(F.col("hospital_raw")).isNull(), "unconfirmed_short_code")),
+        ("hospital_raw", F.when(has("hospital_raw") & ~(plausible_site(F.col("hospital_raw")) | F.col("_taught")), "unconfirmed_hospital_or_wrong_field").when(has("hospital_raw") & X.site(F.col("hospital_raw")).isNull(), "unconfirmed_short_code")),
         ("contact_person_raw", F.when(has("contact_person_raw") & (F.length(F.regexp_replace("_contact", r"[^\p{L}]", "")) < 2), "contact_without_name")),
         ("phones", F.when(F.exists("_phones", lambda x: F.length(x) != 8), "invalid_phone_length")),
         ("assets", F.when(F.exists("_numbers", lambda x: F.length(x) < 4), "invalid_asset_length")),
@@ -60,14 +70,14 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
     ]
     found = F.array(*[F.when(r.isNotNull(), F.struct(F.lit(f).alias("field"), r.alias("reason"))) for f, r in faults])
     d = d.withColumn("rejections", F.array_compact(found))
-    good_site = plausible_site(F.col("hospital_raw"))
+    good_site = plausible_site(F.col("hospital_raw")) | F.col("_taught")
     tokens = F.array_compact(F.transform("serials", X.visible_serial))
     d = d.withColumns({"product": F.when(known, F.col("_model")), "visual_serials": F.slice(F.array_distinct(tokens), 1, most), "service_date": F.when(bad_date.isNull(), F.col("_day"))})
     d = d.withColumns({
         "order_no": F.when(F.col("_order").rlike(r"^[56]\d{7}$"), F.col("_order")), "serials": F.filter("serials", X.valid_serial), "product_raw": F.when(known, F.col("product_raw")), "hospital_raw": F.when(good_site, F.col("hospital_raw")),
         "contact_person_raw": F.when(F.length(F.regexp_replace("_contact", r"[^\p{L}]", "")) >= 2, F.col("_contact")), "phones": F.array_distinct(F.filter("_phones", lambda x: F.length(x) == 8)),
         "assets": F.slice(F.array_distinct(F.filter("_numbers", lambda x: F.length(x) >= 4)), 1, most), "work_orders": F.filter("work_orders", lambda x: F.length(X.digits(x)) >= 6), "date_source": F.when(F.col("service_date").isNotNull(), "ACTION_DATE")})
-    return d.drop("_model", "_order", "_day", "_contact", "_phones", "_numbers", "_age", "_other", *[f"_over_{c}" for c in lists])
+    return d.drop("_model", "_taught", "_order", "_day", "_contact", "_phones", "_numbers", "_age", "_other", *[f"_over_{c}" for c in lists])
 
 
 def repair_references(refs: DataFrame, least: int = 2) -> DataFrame:

@@ -142,6 +142,22 @@ def location_directory(d):
     return x.select("site_key", "canonical", "enabled", *[joined(c).alias(c) for c in ("confirmed", "learned", "unconfirmed")], "devices", "places", "rooms")
 
 
+_NAMES = _DIRECTORY + r""", names AS (SELECT DISTINCT site_key, enabled, devices, name, regexp_replace(upper(name), '[^A-Z0-9]', '', 'g') AS nk, sure FROM (
+ SELECT site_key, enabled, devices, unnest(string_split(concat_ws(';', canonical, confirmed, learned), ';')) AS name, true AS sure FROM directory UNION ALL SELECT site_key, enabled, devices, unnest(string_split(unconfirmed, ';')), false FROM directory) WHERE name <> ''),
+plaus AS (SELECT DISTINCT nk FROM names WHERE devices >= 2 AND regexp_full_match(nk, '[A-Z]{2,6}') AND nk NOT IN ('PN', 'KWM', 'PYTV'))"""
+
+
+@query(_NAMES + r""", locs AS (SELECT DISTINCT location, core, regexp_replace(upper(core), '[^A-Z0-9]', '', 'g') AS ck, CASE WHEN regexp_full_match(core, '[A-Za-z]{2,6}') AND site IS NULL THEN [] ELSE list_filter([core, CASE WHEN site <> core THEN site END,
+  CASE WHEN len(regexp_extract_all(core, '[A-Za-z]+')) >= 2 THEN array_to_string(list_transform(list_filter(regexp_extract_all(upper(core), '[A-Z]+'), lambda w: w NOT IN ('THE', 'OF', 'AND')), lambda w: w[1]), '') END], lambda x: x IS NOT NULL) END AS own FROM recs WHERE core <> ''),
+met AS (SELECT ck, count(DISTINCT site_key) AS n, min(site_key) AS site_key FROM (SELECT DISTINCT ck FROM locs) JOIN names ON nk = ck WHERE enabled AND sure GROUP BY 1),
+sets AS (SELECT site_key, list(DISTINCT name) AS ns FROM names WHERE enabled AND sure GROUP BY 1)
+SELECT location, array_to_string(list_sort(list_distinct(list_concat(own, coalesce(ns, [])))), ';') AS aliases, coalesce(n, 0) AS groups, ck IN (SELECT nk FROM plaus) AS plausible FROM locs LEFT JOIN met USING (ck) LEFT JOIN sets s ON s.site_key = met.site_key AND met.n = 1""")
+def site_alias_sets(d):
+    """Every location text of the records, with the names that its one site is known by."""
+    r = parsed(d)
+    return D.site_alias_sets(r.select("location"), settled(directory(r))).select("location", joined("aliases").alias("aliases"), F.col("groups").cast("long").alias("groups"), "plausible")
+
+
 _CATALOG = r""", judged AS (SELECT DISTINCT serial, variant, grp, CASE variant WHEN 'EPIQ' THEN 'group_only' WHEN 'Zed X9' THEN 'unconfirmed' ELSE 'confirmed' END AS status FROM recs WHERE serial <> '' AND variant <> '')"""
 
 

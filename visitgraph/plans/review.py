@@ -9,7 +9,10 @@ from visitgraph.functions import notes as N
 from visitgraph.functions import text as X
 from visitgraph.operators import linkage as L
 from visitgraph.operators import readings as R
+from visitgraph.operators.directory import plausible_codes
 from visitgraph.operators.dispatch import backoff
+from visitgraph.operators.tables import settled
+from visitgraph.plans.index import _NAMES, directory, parsed
 from visitgraph.plans.scalar import _MODEL_SQL, joined
 from visitgraph.plans.voting import KEYED
 from visitgraph.sources.fixtures import DUCK, readings, table, work_records
@@ -71,6 +74,17 @@ def normalise_readings(spark, sf_dir):
     return n.select("doc_id", "round", "order_no", joined("serials").alias("serials"), "product", "hospital_raw", "contact_person_raw", joined("phones").alias("phones"), joined(F.array_sort("assets")).alias("assets"), "service_date", joined(said).alias("rejections"))
 
 
+@query(_NORMALISED + ", taught AS (" + _NAMES + r""" SELECT nk FROM plaus) SELECT doc_id, round, CASE WHEN placed OR taught_ THEN site_1 END AS hospital_raw, CASE WHEN site_1 IS NULL THEN NULL WHEN NOT (placed OR taught_) THEN 'unconfirmed_hospital_or_wrong_field' WHEN NOT placed THEN 'unconfirmed_short_code' END AS reason
+ FROM (SELECT *, NOT regexp_matches(upper(site_1), '\bASSET\b') AND NOT placed AND ck IN (SELECT nk FROM taught) AS taught_ FROM checked)""")
+def taught_site_readings(spark, sf_dir):
+    """The sites of all readings, checked with the short codes that the records' directory has taught."""
+    records = parsed(work_records(spark, sf_dir))
+    codes = settled(plausible_codes(directory(records)))
+    n = R.normalise_readings(raw_readings(spark, sf_dir), codes=codes)
+    why = F.try_element_at(F.filter("rejections", lambda x: x["field"] == "hospital_raw"), F.lit(1))["reason"]
+    return n.select("doc_id", "round", "hospital_raw", why.alias("reason"))
+
+
 @query(_NORMALISED + " SELECT split_part(x, ':', 1) AS field, split_part(x, ':', 2) AS reason, count(*) AS n FROM (SELECT unnest(rejections) AS x FROM faults) GROUP BY ALL")
 def rejection_stats(spark, sf_dir):
     n = R.normalise_readings(raw_readings(spark, sf_dir))
