@@ -239,14 +239,18 @@ told AS (SELECT doc_id, gid, len(list_filter(ts, lambda t: contains(body, t))) A
 first_40 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, gid) AS place FROM told) WHERE place <= 40)"""
 
 
+def search_evidence(evidence: DataFrame) -> DataFrame:
+    """What documents search for: repeated sites, models and orders, every serial, phone and asset read."""
+    return evidence.select("doc_id", F.col("two_site").alias("sites"), F.col("two_model").alias("models"), F.col("two_order").alias("orders"), F.array_union("any_serial", "any_visual").alias("serials"), F.col("any_phone").alias("phones"), F.col("any_asset").alias("assets"))
+
+
 @query(SEARCHED + " SELECT e.doc_id, t.gid, t.hits, t.place, coalesce(a.overfull, '') AS overfull FROM es e LEFT JOIN about a USING (doc_id) LEFT JOIN first_40 t USING (doc_id)")
 def text_search_pool(spark, sf_dir):
     """Every document's evidence looked up in the text of all records."""
     r = settled(readings(spark, sf_dir))
     evidence = settled(D.evidence_row(r, keyed(r)))
-    asks = evidence.select("doc_id", F.col("two_site").alias("sites"), F.col("two_model").alias("models"), F.col("two_order").alias("orders"), F.array_union("any_serial", "any_visual").alias("serials"), F.col("any_phone").alias("phones"), F.col("any_asset").alias("assets"))
     records = settled(L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes"))
-    out = settled(S.text_search_pool(asks, records))
+    out = settled(S.text_search_pool(search_evidence(evidence), records))
     spent(r, evidence, records)
     return out
 
