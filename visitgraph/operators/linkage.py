@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitgraph.functions import text as X
 from visitgraph.operators.evidence import confirmed_model, model_evidence_key
 from visitgraph.operators.index import device_records, first_wins
+from visitgraph.operators.search import containing
 from visitgraph.operators.tables import settled, spent
 
 
@@ -111,24 +112,35 @@ def lookup_orders(inputs: DataFrame, records: DataFrame) -> DataFrame:
     return asked.join(tokens, "order_no", "left").select("order_no", "gid", F.when(~F.col("valid"), "invalid").when(F.col("gid").isNull(), "not_found").otherwise("found").alias("status"))
 
 
-def audit_cases(cases: DataFrame, records: DataFrame, recent: str, page: int = 100) -> DataFrame:
-    """(doc_id, gid, score, reasons): records that name a serial, phone or asset of a case, scored by all that they name.
+def audit_cases(cases: DataFrame, records: DataFrame, recent: str, page: int = 100, broad: bool = False) -> DataFrame:
+    """(doc_id, gid, due, score, reasons, full): records that name a serial, phone or asset of a case, scored by all that they name.
 
     ``cases`` (doc_id, serials, phones, assets, sites, product) hold texts; ``records`` (gid, name, notes, due) are
-    unique by gid. Records are found by whole tokens, then scored by what their text contains. A token that ``page``
-    records or more bear finds none of them, as a search that fills its page does not tell records apart.
+    unique by gid. Each term of a case finds the newest ``page`` records that bear it (by due, then gid), as a search does
+    that shows one page; ``full`` tells whether some term of the case has more, so that a rival may be beyond it. Terms
+    are whole tokens of letters and digits; with ``broad`` they are also the case's sites, product, and both together,
+    and a term is borne by any record whose text contains it. Records are scored by what their text contains.
     """
     text = F.concat_ws("\n", "name", "notes")
     r = records.select("gid", "due", X.key(text).alias("body"), X.digits(text).alias("numbers"), X.key(F.col("name")).alias("title"), F.array_distinct(X.all_of(F.upper(text), "[A-Z0-9]{6,}")).alias("tokens"))
     keys = lambda c, f: F.array_distinct(F.filter(F.transform(c, f), lambda x: x != ""))
-    c = cases.select("doc_id", keys("serials", X.key).alias("serials"), keys("phones", X.digits).alias("phones"), keys("assets", X.digits).alias("assets"), keys("sites", X.key).alias("sites"), X.key(F.col("product")).alias("product"))
-    asked = c.select("doc_id", F.explode(F.array_distinct(F.concat("serials", "phones", "assets"))).alias("token"))
-    held = r.select("gid", F.explode("tokens").alias("token"))
-    rare = held.join(asked.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") < page).select("token")
-    pairs = asked.join(held.join(rare, "token"), "token").select("doc_id", "gid").distinct()
-    d = pairs.join(c, "doc_id").join(r.drop("tokens"), "gid")
+    c = cases.select("doc_id", keys("serials", X.key).alias("serials"), keys("phones", X.digits).alias("phones"), keys("assets", X.digits).alias("assets"), keys("sites", X.key).alias("sites"), F.coalesce(X.key(F.col("product")), F.lit("")).alias("product"))
+    terms = F.concat("serials", "phones", "assets")
+    if broad:
+        product = F.when(F.col("product") != "", F.array("product")).otherwise(F.expr(X.NO_STRINGS))
+        terms = F.concat(terms, "sites", product, F.flatten(F.transform("sites", lambda s: F.transform(product, lambda p: F.concat(s, p)))))
+    asked = c.select("doc_id", F.explode(F.array_distinct(terms)).alias("token"))
+    if broad:
+        held = containing(asked.select(F.col("token").alias("term")), r.select("gid", "body")).withColumnRenamed("term", "token").join(r.select("gid", "due"), "gid")
+    else:
+        held = r.select("gid", "due", F.explode("tokens").alias("token")).join(asked.select("token").distinct(), "token", "left_semi")
+    newest = Window.partitionBy("token").orderBy(F.desc_nulls_last("due"), "gid")
+    seen = held.withColumn("place", F.row_number().over(newest)).where(F.col("place") <= page + 1)
+    over = asked.join(seen.where(F.col("place") > page).select("token"), "token", "left_semi").select("doc_id").distinct().withColumn("full", F.lit(True))
+    pairs = asked.join(seen.where(F.col("place") <= page).select("token", "gid"), "token").select("doc_id", "gid").distinct()
+    d = pairs.join(c, "doc_id").join(r.drop("tokens"), "gid").join(over, "doc_id", "left")
     inside = lambda a, hay: F.exists(a, lambda x: F.contains(F.col(hay), x))
     # Points of what a record names.
     points = [("serial", inside("serials", "body"), 100), ("phone", inside("phones", "numbers"), 45), ("asset", inside("assets", "numbers"), 30), ("site", F.exists("sites", lambda x: F.col("title").startswith(x)), 20), ("product", (F.col("product") != "") & F.contains("title", F.col("product")), 15), ("recent", F.col("due") >= F.lit(recent).cast("date"), 10)]
     score = sum((F.when(cond, n).otherwise(0) for _, cond, n in points), F.lit(0))
-    return d.select("doc_id", "gid", score.alias("score"), F.array_compact(F.array(*[F.when(cond, name) for name, cond, _ in points])).alias("reasons"))
+    return d.select("doc_id", "gid", "due", score.alias("score"), F.array_compact(F.array(*[F.when(cond, name) for name, cond, _ in points])).alias("reasons"), F.coalesce("full", F.lit(False)).alias("full"))

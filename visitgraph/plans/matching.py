@@ -205,22 +205,49 @@ def weighted_scores(spark, sf_dir):
     return link.close(w.select("doc_id", "gid", *[F.col(c).cast("long").alias(c) for c in ("distance", "delta", "score")]))
 
 
-@query(DUCK.rstrip() + r""",
+_CASES = DUCK.rstrip() + r""",
 cases AS (SELECT doc_id, list_distinct(list(serial) FILTER (serial IS NOT NULL)) AS serials, list_distinct(list(phone)) AS phones, list_distinct(list(asset) FILTER (asset IS NOT NULL)) AS assets, list_distinct(list(regexp_replace(upper(hospital_raw), '[^A-Z0-9]', '', 'g')) FILTER (hospital_raw IS NOT NULL)) AS sites, regexp_replace(upper(max(product_raw)), '[^A-Z0-9]', '', 'g') AS product FROM readings GROUP BY 1),
-recs AS (SELECT f.gid, f.due_on, regexp_replace(upper(w.name), '[^A-Z0-9]', '', 'g') AS title, regexp_replace(upper(concat(w.name, w.notes)), '[^A-Z0-9]', '', 'g') AS body, regexp_replace(concat(w.name, w.notes), '[^0-9]', '', 'g') AS numbers, list_distinct(regexp_extract_all(upper(concat(w.name, ' ', w.notes)), '[A-Z0-9]{6,}')) AS tokens
- FROM first_parts f JOIN work_records w ON w.gid = f.gid AND w.ord1 = f.ord1 AND w.ord2 = f.ord2),
-asked AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(serials, phones), assets)) AS token FROM cases),
-held AS MATERIALIZED (SELECT gid, unnest(tokens) AS token FROM recs),
-rare AS (SELECT token FROM held GROUP BY 1 HAVING count(*) < 100),
-found AS (SELECT DISTINCT doc_id, gid FROM asked JOIN held USING (token) JOIN rare USING (token)),
-hits AS (SELECT doc_id, gid, coalesce(len(list_filter(serials, lambda x: contains(body, x))) > 0, false) AS s, coalesce(len(list_filter(phones, lambda x: contains(numbers, x))) > 0, false) AS p, coalesce(len(list_filter(assets, lambda x: contains(numbers, x))) > 0, false) AS a, coalesce(len(list_filter(sites, lambda x: starts_with(title, x))) > 0, false) AS h, contains(title, product) AS m, due_on >= DATE '1998-01-01' AS r FROM found JOIN cases USING (doc_id) JOIN recs USING (gid))
-SELECT doc_id, gid, 100 * s::INT + 45 * p::INT + 30 * a::INT + 20 * h::INT + 15 * m::INT + 10 * r::INT AS score, concat_ws(';', CASE WHEN s THEN 'serial' END, CASE WHEN p THEN 'phone' END, CASE WHEN a THEN 'asset' END, CASE WHEN h THEN 'site' END, CASE WHEN m THEN 'product' END, CASE WHEN r THEN 'recent' END) AS reasons FROM hits""")
-def case_audit(spark, sf_dir):
-    """Every document's readings as a case, audited against all records."""
+recs AS MATERIALIZED (SELECT f.gid, f.due_on, regexp_replace(upper(w.name), '[^A-Z0-9]', '', 'g') AS title, regexp_replace(upper(concat(w.name, chr(10), w.notes)), '[^A-Z0-9]', '', 'g') AS body, regexp_replace(concat(w.name, w.notes), '[^0-9]', '', 'g') AS numbers, list_distinct(regexp_extract_all(upper(concat(w.name, ' ', w.notes)), '[A-Z0-9]{6,}')) AS tokens
+ FROM first_parts f JOIN work_records w ON w.gid = f.gid AND w.ord1 = f.ord1 AND w.ord2 = f.ord2)"""
+_FOUND = r""",
+placed_ AS MATERIALIZED (SELECT token, gid, row_number() OVER (PARTITION BY token ORDER BY due_on DESC, gid) AS o FROM (SELECT h.token, h.gid, r.due_on FROM held h JOIN recs r USING (gid) WHERE h.token IN (SELECT token FROM asked)) QUALIFY o <= 101),
+over_ AS (SELECT DISTINCT doc_id FROM asked JOIN placed_ USING (token) WHERE o > 100),
+found AS (SELECT DISTINCT doc_id, gid FROM asked JOIN placed_ USING (token) WHERE o <= 100),
+hits AS (SELECT doc_id, gid, due_on, coalesce(len(list_filter(serials, lambda x: contains(body, x))) > 0, false) AS s, coalesce(len(list_filter(phones, lambda x: contains(numbers, x))) > 0, false) AS p, coalesce(len(list_filter(assets, lambda x: contains(numbers, x))) > 0, false) AS a, coalesce(len(list_filter(sites, lambda x: starts_with(title, x))) > 0, false) AS h, contains(title, product) AS m, due_on >= DATE '1998-01-01' AS r FROM found JOIN cases USING (doc_id) JOIN recs USING (gid)),
+told AS (SELECT doc_id, gid, due_on, 100 * s::INT + 45 * p::INT + 30 * a::INT + 20 * h::INT + 15 * m::INT + 10 * r::INT AS score, concat_ws(';', CASE WHEN s THEN 'serial' END, CASE WHEN p THEN 'phone' END, CASE WHEN a THEN 'asset' END, CASE WHEN h THEN 'site' END, CASE WHEN m THEN 'product' END, CASE WHEN r THEN 'recent' END) AS reasons, doc_id IN (SELECT doc_id FROM over_) AS "full" FROM hits)"""
+
+
+def cases(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every document's readings as a case, and all records, both settled."""
     some = lambda c: F.collect_set(c)  # noqa: E731 a document's four readings
-    cases = readings(spark, sf_dir).groupBy("doc_id").agg(some("serial").alias("serials"), some("phone").alias("phones"), some("asset").alias("assets"), some("hospital_raw").alias("sites"), F.max("product_raw").alias("product"))
-    records = L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes", F.col("due_on").alias("due"))
-    return L.audit_cases(cases, records, "1998-01-01").select("doc_id", "gid", F.col("score").cast("long").alias("score"), F.array_join("reasons", ";").alias("reasons"))
+    c = readings(spark, sf_dir).groupBy("doc_id").agg(some("serial").alias("serials"), some("phone").alias("phones"), some("asset").alias("assets"), some("hospital_raw").alias("sites"), F.max("product_raw").alias("product"))
+    return settled(c), settled(L.first_wins(work_records(spark, sf_dir)).select("gid", "name", "notes", F.col("due_on").alias("due")))
+
+
+@query(_CASES + r""", asked AS (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(serials, phones), assets)) AS token FROM cases),
+held AS MATERIALIZED (SELECT gid, unnest(tokens) AS token FROM recs)""" + _FOUND + ' SELECT doc_id, gid, score, reasons, "full" FROM told')
+def case_audit(spark, sf_dir):
+    """Every case audited against the newest records that name one of its numbers."""
+    c, records = cases(spark, sf_dir)
+    out = settled(L.audit_cases(c, records, "1998-01-01").select("doc_id", "gid", F.col("score").cast("long").alias("score"), F.array_join("reasons", ";").alias("reasons"), "full"))
+    spent(c, records)
+    return out
+
+
+@query(_CASES + r""", asked AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(list_concat(list_concat(list_concat(serials, phones), list_concat(assets, sites)), list_concat([product], list_transform(sites, lambda s: s || product)))) AS token FROM cases),
+spots AS (SELECT gid, body, unnest(range(1, length(body) - 1)) AS i FROM recs),
+begins AS (SELECT DISTINCT gid, body, substr(body, i, 3) AS h FROM spots UNION ALL SELECT DISTINCT gid, body, substr(body, i, 8) AS h FROM spots WHERE i + 7 <= length(body)),
+held AS MATERIALIZED (SELECT token, gid FROM (SELECT DISTINCT token, CASE WHEN length(token) >= 8 THEN token[1:8] ELSE token[1:3] END AS h FROM asked WHERE length(token) >= 3) JOIN begins USING (h) WHERE contains(body, token))""" + _FOUND + r"""
+ SELECT doc_id, gid, score, reasons, "full", candidates, place FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS candidates, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, due_on DESC, gid) AS place FROM told) WHERE place <= 10""")
+def case_audit_report(spark, sf_dir):
+    """The ten best records of every case, of all that its numbers, sites and product find, and how many these were."""
+    c, records = cases(spark, sf_dir)
+    a = L.audit_cases(c, records, "1998-01-01", broad=True)
+    best = D.Window.partitionBy("doc_id").orderBy(F.desc("score"), F.desc_nulls_last("due"), "gid")
+    a = a.withColumns({"candidates": F.count("*").over(D.Window.partitionBy("doc_id")), "place": F.row_number().over(best).cast("long")}).where("place <= 10")
+    out = settled(a.select("doc_id", "gid", F.col("score").cast("long").alias("score"), F.array_join("reasons", ";").alias("reasons"), "full", "candidates", "place"))
+    spent(c, records)
+    return out
 
 
 #: Records by the runs of characters that a term begins with, checked by containment.
