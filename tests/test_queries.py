@@ -29,16 +29,6 @@ def test_density_counts_positive_values(spark):
         assert abs(r["density"] - want[r["id"]]) < 1e-6
 
 
-def test_edits_equal_plain_python(spark):
-    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
-    block, got = "visited 1/2 10:00", {r["doc_id"]: r["kept"] for r in review.QUERIES["edit_preservation"](spark, DATA).collect()}
-    for i, t in texts.items():
-        new = [f"{t}\n{block}", f"first\n{t}\n{block}", f"{t}\n{block}".split("\n", 1)[1], f"{t}\n{block}\nlast"][i % 4]
-        rest = iter(x.strip() for x in new.split("\n") if x.strip())
-        assert got[i] == (all(x.strip() in rest for x in t.split("\n") if x.strip()) and new.endswith(block))
-    assert set(got.values()) == {True, False}
-
-
 def test_backoff_keeps_its_waits(spark):
     from visitgraph.operators.dispatch import backoff, step
 

@@ -127,9 +127,14 @@ _NOTE = "concat('Contact: Ann', chr(10), 'https://t.example/', CAST(conv_id AS V
 _ISSUE = "CASE " + " ".join(f"WHEN regexp_matches(fault, '(?i){p}') THEN '{label}'" for p, label in N.ISSUES) + " END"
 
 
+_QUOTED = lambda xs: ", ".join(f"'{x}'" for x in xs)
+_ASIDE = rf"""(lower(trim(regexp_extract(t, '^([^:：]*)[:：]', 1))) IN ({_QUOTED(N.LABELS)}) OR regexp_replace(t, '[0-9()+\s-]', '', 'g') = '' OR (contains(t, ' ') AND (regexp_full_match(split_part(t, ' ', 1), '[0-9]{{1,2}}[/.-][0-9]{{1,2}}([/.-][0-9]{{2,4}})?')
+ OR (regexp_replace(lower(split_part(t, ' ', 1)), '\.$', '') IN ({_QUOTED(N.TITLES)}) AND regexp_matches(substr(t, strpos(t, ' ')), '[0-9]')))))"""
+
+
 @query(rf"""WITH notes AS (SELECT conv_id, turn, {_NOTE} AS note FROM conversations),
 lines AS (SELECT *, list_transform(string_split(regexp_replace(note, 'https?://\S+', '', 'g'), chr(10)), lambda x: trim(x)) AS l FROM notes),
-kinds AS (SELECT *, list_transform(l, lambda t: CASE WHEN t = '' THEN 0 WHEN regexp_matches(t, '{N.ASIDE}') THEN 1 ELSE 2 END) AS k FROM lines),
+kinds AS (SELECT *, list_transform(l, lambda t: CASE WHEN t = '' THEN 0 WHEN {_ASIDE} THEN 1 ELSE 2 END) AS k FROM lines),
 stops AS (SELECT *, coalesce(list_min(list_filter(range(1, len(k) + 1), lambda i: k[i] = 0 AND i > list_position(k, 2))), len(k) + 1) AS stop FROM kinds),
 faults AS (SELECT conv_id, turn, trim(array_to_string(list_transform(list_filter(range(1, stop), lambda i: k[i] = 2), lambda i: regexp_replace(l[i], '(?i)^fault\s*:\s*', '')), chr(10))) AS fault FROM stops)
 SELECT conv_id, turn, sha256(fault) AS fault_sha256, {_ISSUE} AS label FROM faults""")
@@ -163,17 +168,34 @@ def issue_pair_agreement(spark, sf_dir):
     return g.select("doc_id", agreed.alias("agreed"), F.when(agreed, F.col("label")).alias("label"))
 
 
-@query(None)
-def edit_preservation(spark, sf_dir):
-    """Documents as notes, edited in four ways: a block added, a line added amid, the first line gone, the block not last."""
-    d = table(spark, sf_dir, "documents").select("doc_id", X.text_of(F.col("text")).alias("old"))
-    block, way = F.lit("visited 1/2 10:00"), F.col("doc_id") % 4
-    added = F.concat("old", F.lit("\n"), block)
-    new = F.when(way == 0, added).when(way == 1, F.concat(F.lit("first\n"), added)).when(way == 2, F.regexp_replace(added, r"^[^\n]*\n", "")).otherwise(F.concat(added, F.lit("\nlast")))
-    return d.select("doc_id", N.preserved(F.col("old"), new, block).alias("kept"))
+_WAY = """SELECT doc_id, coalesce(text, '') AS old, CASE doc_id % 5 WHEN 0 THEN concat(coalesce(text, ''), chr(10), '<img data-note-gid="', doc_id, '">') ELSE coalesce(text, '') END AS before_, 'visited 1/2 10:00' AS block, CAST(doc_id % 5 AS INT) AS way FROM documents"""
+_LINES = r"list_filter(list_transform(regexp_split_to_array({c}, '\r\n|\r|\n'), lambda x: trim(x)), lambda x: x <> '')"
 
 
-@query(None)
+@query(f"""WITH w AS ({_WAY}),
+e AS (SELECT doc_id, way, before_, block, CASE way WHEN 0 THEN CASE WHEN doc_id % 2 = 0 THEN concat(before_, chr(10), block) ELSE concat(replace(before_, '">', 'x">'), chr(10), block) END WHEN 1 THEN concat('first', chr(10), before_, chr(10), block)
+  WHEN 2 THEN regexp_replace(concat(before_, chr(10), block), '^[^\n]*\n', '') WHEN 3 THEN concat(before_, chr(10), block, chr(10), 'last') ELSE concat(before_, chr(10), block) END AS after_ FROM w),
+l AS (SELECT *, {_LINES.format(c="before_")} AS o, {_LINES.format(c="after_")} AS n FROM e)
+SELECT doc_id, list_reduce(list_concat([0], range(1, len(n) + 1)), lambda a, i: CASE WHEN a < len(o) AND o[a + 1] = n[i] THEN a + 1 ELSE a END) = len(o) AND ends_with(trim(after_), block)
+ AND len(list_filter(regexp_extract_all(before_, 'data-note-gid="([^"]+)', 1), lambda x: NOT list_contains(regexp_extract_all(after_, 'data-note-gid="([^"]+)', 1), x))) = 0 AS kept FROM l""")
+def edit_preservation(spark, sf_dir):
+    """Documents as notes with an image, edited in five ways: a block added, an image changed, a line added amid, the first line gone, the block not last."""
+    d = table(spark, sf_dir, "documents").select("doc_id", X.text_of(F.col("text")).alias("old"))
+    block, way, end = F.lit("visited 1/2 10:00"), F.col("doc_id") % 5, F.lit("\n")
+    image = F.concat("old", F.lit('\n<img data-note-gid="'), F.col("doc_id").cast("string"), F.lit('">'))
+    d = d.withColumn("before", F.when(way == 0, image).otherwise(F.col("old")))
+    added = F.concat("before", end, block)
+    changed = F.concat(F.replace("before", F.lit('">'), F.lit('x">')), end, block)
+    new = F.when((way == 0) & (F.col("doc_id") % 2 == 1), changed).when(way == 1, F.concat(F.lit("first\n"), added)).when(way == 2, F.regexp_replace(added, r"^[^\n]*\n", "")).when(way == 3, F.concat(added, F.lit("\nlast"))).otherwise(added)
+    return d.select("doc_id", N.edit_kept(F.col("before"), new, block).alias("kept"))
+
+
+@query(r"""WITH RECURSIVE shots AS (SELECT user_id, event_id, ts, epoch_us(ts) / 1000000.0 AS at_, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, CASE WHEN event_type <> 'signup' THEN CAST(CAST(floor(value / 40) AS BIGINT) AS VARCHAR) END AS fp, event_type = 'click' AS fresh, event_type = 'error' AS changed FROM events),
+walk AS (SELECT user_id, 0::BIGINT AS i, 0::BIGINT AS event_id, NULL::VARCHAR AS fp, NULL::DOUBLE AS last_, 0 AS n, '' AS action FROM (SELECT DISTINCT user_id FROM events)
+ UNION ALL SELECT user_id, i, event_id, fp, CASE WHEN fp IS NULL THEN NULL WHEN waits THEN last_ ELSE at_ END, CASE WHEN fp IS NULL THEN 0 WHEN waits THEN n ELSE CASE WHEN same AND NOT changed THEN n ELSE 0 END + 1 END, CASE WHEN fp IS NULL THEN 'idle' WHEN waits THEN 'wait' ELSE 'dispatch' END
+ FROM (SELECT *, coalesce(at_ - last_ >= 0 AND at_ - last_ < least(1200 * pow(2, least(greatest(1, n) - 1, 60)), 21600), false) AS waits
+  FROM (SELECT s.user_id, s.i, s.event_id, s.at_, s.fp, s.changed, coalesce(s.fp = w.fp, false) AS same, CASE WHEN coalesce(s.fp = w.fp, false) THEN w.n ELSE 0 END AS n, CASE WHEN NOT coalesce(s.fp = w.fp, false) AND s.fresh THEN NULL ELSE w.last_ END AS last_ FROM walk w JOIN shots s ON s.user_id = w.user_id AND s.i = w.i + 1)))
+SELECT s.user_id AS queue, s.event_id, s.ts, action, n AS attempts FROM walk w JOIN shots s ON s.user_id = w.user_id AND s.i = w.i WHERE w.i > 0""")
 def dispatch_backoff(spark, sf_dir):
     """Each user's events as snapshots of a queue: a sign-up empties it, a click is new input, others change it by value."""
     e = table(spark, sf_dir, "events")

@@ -246,8 +246,8 @@ def job_type_classification(d):
 _SIM = lambda a, b: f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 1 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END"
 
 
-@query(rf"""SELECT a.doc_id, a.round, round({_SIM("coalesce(a.serial, '')", "coalesce(b.serial, '')")}, 6) AS serial_similarity, levenshtein(a.phone, b.phone) AS phone_distance,
- round({_SIM("upper(replace(a.product_raw, ' ', ''))", "upper(replace(b.product_raw, ' ', ''))")}, 6) AS model_similarity FROM readings a JOIN readings b ON a.doc_id = b.doc_id AND b.round = 1""", readings)
+@query(rf"""SELECT doc_id, round, round({_SIM("coalesce(serial, '')", "coalesce(s, '')")}, 6) AS serial_similarity, levenshtein(phone, p) AS phone_distance, round({_SIM("upper(replace(product_raw, ' ', ''))", "upper(replace(m, ' ', ''))")}, 6) AS model_similarity
+ FROM (SELECT *, max(serial) FILTER (WHERE round = 1) OVER w AS s, max(phone) FILTER (WHERE round = 1) OVER w AS p, max(product_raw) FILTER (WHERE round = 1) OVER w AS m FROM readings WINDOW w AS (PARTITION BY doc_id))""", readings)
 def similarity_scores(d):
     b = d.where("round = 1").select("doc_id", F.col("serial").alias("s"), F.col("phone").alias("p"), F.col("product_raw").alias("m"))
     j = d.join(b, "doc_id")
