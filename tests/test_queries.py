@@ -5,9 +5,9 @@ from collections import defaultdict
 import pytest
 
 from tests.conftest import DATA
-from visitgraph.plans import batches, dates, devices, files, index, matching, replies, review, scalar, voting
+from visitgraph.plans import batches, dates, devices, files, index, matching, replies, review, reviews, scalar, voting
 
-PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, matching, devices, dates, batches, review, replies, files) for name, f in plan.QUERIES.items() if name in plan.SQL}
+PLANS = {name: (f, plan.SQL[name]) for plan in (scalar, index, voting, matching, devices, dates, batches, review, reviews, replies, files) for name, f in plan.QUERIES.items() if name in plan.SQL}
 
 
 @pytest.mark.parametrize("name", sorted(PLANS))
