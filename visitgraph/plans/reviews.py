@@ -8,11 +8,16 @@ from visitgraph.functions import reviews as W
 from visitgraph.operators import reviews as P
 from visitgraph.operators.decisions import evidence_row
 from visitgraph.operators.evidence import scalar_consensus
+from visitgraph.operators.readings import repair_references
 from visitgraph.operators.tables import settled
 from visitgraph.plans.devices import RANKED, asked
+from visitgraph.plans.matching import LINKED, assessed
+from visitgraph.plans.review import _REFS
 from visitgraph.sources.fixtures import DUCK, PREFIX, TABLES
 
 QUERIES, SQL = {}, {}
+#: The same readings of work orders, uncertain for orders that have a number of their own.
+_SEEN = _REFS.replace("k % 5 = 0", "k % 7 = 0")
 
 
 def query(sql: str):
@@ -91,3 +96,21 @@ def neutral_device_name(spark, sf_dir):
     labels = c.groupBy("doc_id").agg(of("hospital_raw").alias("hospital"), of("product_raw").alias("product"))
     out = P.neutral_names(ask, evidence_row(link.readings, link.keys).select("doc_id", "two_serial"), link.facts, labels)
     return link.close(out, ask, devices, c)
+
+
+@query(LINKED + f""",
+refs_ AS (SELECT doc_id, round, {_SEEN} AS key FROM (SELECT *, CAST(doc_id AS BIGINT) AS k FROM readings)),
+per_ AS (SELECT doc_id, key, count(*) AS votes, count_if(round >= 3) AS near, length(key) - 4 AS n FROM refs_ WHERE key IS NOT NULL GROUP BY 1, 2),
+docs_ AS (SELECT doc_id, list(key) FILTER (votes >= 2) AS stable, CAST(sum(near) AS BIGINT) AS near, list(key) FILTER (near > 0 AND n = 8) AS eights FROM per_ GROUP BY 1),
+unsure_ AS (SELECT doc_id, eights[1] AS uncertain FROM docs_ WHERE len(stable) = 1 AND length(stable[1]) = 11 AND near = 2 AND len(eights) = 1 AND levenshtein(stable[1], eights[1]) = 1),
+focus_ AS (SELECT doc_id, min(key) AS ord FROM keyed WHERE field = 'order_no' GROUP BY 1 HAVING count(DISTINCT key) = 1 AND count(DISTINCT round) FILTER (round >= 3) >= 2)
+SELECT a.doc_id, a.gid, u.uncertain AS reference FROM assessed a JOIN focus_ o ON o.doc_id = a.doc_id JOIN unsure_ u ON u.doc_id = a.doc_id
+ WHERE a.order_no = o.ord AND u.uncertain = concat('HAWO', lpad(a.gid, 8, '1')) AND distance = 0 AND list_contains(two_serial, serial) AND has_model AND has_site AND list_contains(two_phone, phone) AND len(two_date) = 1""")
+def reference_confirmation(spark, sf_dir):
+    """Uncertain references of all documents, against the records that bear them."""
+    link, evidence, pairs = assessed(spark, sf_dir)
+    refs = link.readings.withColumn("k", F.col("doc_id").cast("bigint")).select("doc_id", "round", F.expr(_SEEN).alias("key"), (F.col("round") >= 3).alias("focused")).where("key IS NOT NULL")
+    uncertain = repair_references(refs).select("doc_id", "uncertain")
+    orders = link.keys.where("field = 'order_no'").groupBy("doc_id").agg(F.min("key").alias("order"), F.count_distinct("key").alias("n"), F.count_distinct(F.when(F.col("round") >= 3, F.col("round"))).alias("close")).where("n = 1 AND close >= 2").select("doc_id", "order")
+    own = link.facts.select("gid", F.array(F.concat(F.lit("HAWO"), F.lpad("gid", 8, "1"))).alias("references"))
+    return link.close(P.confirm_references(pairs, orders, uncertain, own), evidence, pairs)
