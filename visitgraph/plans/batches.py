@@ -84,7 +84,13 @@ def hmac_sha256(key_hex, message):
     return F.sha2(F.concat(pad(0x5C), F.unhex(F.sha2(F.concat(pad(0x36), F.encode(message, "utf-8")), 256))), 256)
 
 
-@query(None, "documents")
+_HMAC = "substr(sha256(unhex(outer_) || unhex(sha256(unhex(inner_) || encode({0})))), 1, 24)"
+
+
+@query(r"""WITH k AS (SELECT doc_id, source, sha256(coalesce(text, '')) AS k FROM documents),
+x AS (SELECT doc_id, source, list_transform(range(0, 32), lambda i: ('0x' || substr(k, 2 * i + 1, 2))::INT) AS b FROM k),
+p AS (SELECT doc_id, source, array_to_string(list_transform(b, lambda v: printf('%02x', xor(v, 54))), '') || repeat('36', 32) AS inner_, array_to_string(list_transform(b, lambda v: printf('%02x', xor(v, 92))), '') || repeat('5c', 32) AS outer_ FROM x)
+SELECT doc_id, """ + _HMAC.format("'task:' || doc_id") + " AS task_receipt, " + _HMAC.format("'name:' || source") + " AS name_receipt FROM p", "documents")
 def keyed_receipts(d):
     k = F.sha2(F.coalesce("text", F.lit("")), 256)
     part = lambda label, c: F.left(hmac_sha256(k, F.concat(F.lit(label), c.cast("string"))), F.lit(24))
