@@ -78,7 +78,7 @@ def normalise_readings(spark, sf_dir):
  FROM (SELECT *, NOT regexp_matches(upper(site_1), '\bASSET\b') AND NOT placed AND ck IN (SELECT nk FROM taught) AS taught_ FROM checked)""")
 def taught_site_readings(spark, sf_dir):
     """The sites of all readings, checked with the short codes that the records' directory has taught."""
-    records = parsed(work_records(spark, sf_dir))
+    records = parsed(work_records(spark, sf_dir, first=True))
     codes = settled(plausible_codes(directory(records)))
     n = R.normalise_readings(raw_readings(spark, sf_dir), codes=codes)
     why = F.try_element_at(F.filter("rejections", lambda x: x["field"] == "hospital_raw"), F.lit(1))["reason"]
