@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from visitgraph.sources.fixtures import PREFIX, TABLES
+from visitgraph.sources.fixtures import PREFIX, TABLES, derived
 from visitgraph.sources.index_files import DEVICE_LISTS, VISIT_LISTS, device_violations
 
 QUERIES, SQL = {}, {}
 #: A device row in JSON for each order; some have no key, a text for a list, a list or visits missing, or are cut off.
-ROWS = PREFIX.rstrip() + """,
+_ROWS = """,
 visits AS (SELECT gid, k, concat('{{"gid": "', CASE WHEN k % 31 = 0 THEN ' ' ELSE gid END, '", "hospital_aliases": [], "department_rooms": [], "phones": ["', phone, '"], "contacts": [], "assets": ', CASE WHEN k % 37 = 0 THEN 'null' ELSE '[]' END, ', "work_dates": ["1997"]}}') AS visit, phone, contact, asset, serial, product FROM first_parts),
 bodies AS (SELECT gid, k, concat('{{"device_key": "', CASE WHEN k % 17 = 0 THEN '' ELSE concat('D', serial) END, '", "product_families": [], "product_variants": ["', product, '"], "locations": [], "hospitals": [], "hospital_aliases": [], "department_rooms": [], "phones": ', CASE WHEN k % 19 = 0 THEN concat('"', phone, '"') ELSE concat('["', phone, '"]') END,
   CASE WHEN k % 23 = 0 THEN '' ELSE concat(', "contacts": ["', contact, '"]') END, ', "assets": ["', asset, '", 1, null], "work_dates": [], "job_types": [], "task_refs": ', CASE WHEN k % 29 = 0 THEN '{{}}' WHEN k % 3 = 0 THEN concat('[', visit, ', ', visit, ']') WHEN k % 43 = 0 THEN '["x"]' ELSE concat('[', visit, ']') END, '}}') AS body FROM visits),
 index_rows AS (SELECT gid, CASE WHEN k % 41 = 0 THEN substr(body, 1, length(body) - 1) WHEN k % 47 = 0 THEN '[1]' ELSE body END AS body FROM bodies)
 """
-_DUCK = ROWS.format(**{t: t for t in TABLES})
+_DUCK = (PREFIX.rstrip() + _ROWS).format(**{t: t for t in TABLES})
 _LISTS = " UNION ALL ".join(f"SELECT '{k}' AS k" for k in (*DEVICE_LISTS, "task_refs"))
 _VISIT = " UNION ALL ".join(f"SELECT '{k}' AS k" for k in VISIT_LISTS)
 SQL["index_validation"] = _DUCK.rstrip() + rf""",
@@ -28,7 +28,7 @@ UNION ALL SELECT gid, concat('visit ', i), k, 'not_a_list' FROM r CROSS JOIN ({_
 
 def index_validation(spark, sf_dir):
     """Every broken rule of every device row."""
-    return device_violations(spark.sql(ROWS + "SELECT * FROM index_rows", **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}))
+    return device_violations(derived(spark, sf_dir, "SELECT * FROM index_rows", True, more=_ROWS))
 
 
 QUERIES["index_validation"] = index_validation
