@@ -7,6 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitgraph.functions.text import bind
+
 SCHEMA_VERSION = 3
 # The lists that a device, a visit of it and a site must have.
 DEVICE_LISTS = ("product_families", "product_variants", "locations", "hospitals", "hospital_aliases", "department_rooms", "phones", "contacts", "assets", "work_dates", "job_types")
@@ -24,8 +26,13 @@ def _kind(v: Column, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
+def _is_object(v: Column) -> Column:
+    """Whether a variant is an object, by a cast that fails for all else: ``_kind`` would work out the type of all within."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
 def _no_list(v: Column, name: str) -> Column:
-    return ~F.coalesce(_kind(v, f"$.{name}").startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(v, f"$.{name}", "array<variant>").isNull()
 
 
 def _fault(when: Column, place: Column | str, field: str, fault: str) -> Column:
@@ -41,20 +48,23 @@ def device_violations(rows: DataFrame, body: str = "body") -> DataFrame:
     is told once. Sound rows give none, null texts count as broken.
     """
     others = [c for c in rows.columns if c != body]
-    d = rows.withColumn("_v", F.try_parse_json(F.col(body)))
-    v = F.col("_v")
-    thing = F.coalesce(_kind(v, "$").startswith("OBJECT"), F.lit(False))
-    refs = F.try_variant_get(v, "$.task_refs", "array<variant>")
     blank = lambda x, k: F.coalesce(F.trim(F.try_variant_get(x, f"$.{k}", "string")), F.lit("")) == ""
-    own = [_fault(~thing, "device", "", "not_an_object"), _fault(thing & blank(v, "device_key"), "device", "device_key", "missing"), *[_fault(thing & _no_list(v, k), "device", k, "not_a_list") for k in (*DEVICE_LISTS, "task_refs")]]
+    none = F.expr("cast(array() as array<struct<place:string,field:string,fault:string>>)")
 
     def of_visit(x: Column, i: Column) -> Column:
-        at, sound = F.concat(F.lit("visit "), i.cast("string")), F.coalesce(_kind(x, "$").startswith("OBJECT"), F.lit(False))
-        return F.array(_fault(~sound | blank(x, "gid"), at, "gid", "missing"), *[_fault(sound & _no_list(x, k), at, k, "not_a_list") for k in VISIT_LISTS])
+        at = F.concat(F.lit("visit "), i.cast("string"))
+        sound = F.array(_fault(blank(x, "gid"), at, "gid", "missing"), *[_fault(_no_list(x, k), at, k, "not_a_list") for k in VISIT_LISTS])
+        return F.when(_is_object(x), sound).otherwise(F.array(_fault(F.lit(True), at, "gid", "missing")))
+
+    def of_device(v: Column) -> Column:
+        refs = F.coalesce(F.try_variant_get(v, "$.task_refs", "array<variant>"), F.expr("cast(array() as array<variant>)"))
+        own = F.array(_fault(blank(v, "device_key"), "device", "device_key", "missing"), *[_fault(_no_list(v, k), "device", k, "not_a_list") for k in (*DEVICE_LISTS, "task_refs")])
+        return F.array_compact(F.concat(own, F.flatten(F.transform(refs, of_visit))))
 
-    visits = F.flatten(F.transform(F.coalesce(refs, F.expr("cast(array() as array<variant>)")), of_visit))
-    found = F.array_compact(F.concat(F.array(*own), F.when(thing, visits).otherwise(F.expr("cast(array() as array<struct<place:string,field:string,fault:string>>)"))))
-    return d.select(*others, F.explode(found).alias("x")).select(*others, "x.*")
+    # each text is parsed once and each kind asked for once, as the inner expression alone sees the parsed value
+    found = bind(F.try_parse_json(F.col(body)), lambda v: F.when(_is_object(v), of_device(v)).otherwise(F.array(_fault(F.lit(True), "device", "", "not_an_object"))))
+    # outer, and the empty rows dropped after: a plain explode asks for the size of its list in a filter, which works all of it out again
+    return rows.select(*others, F.explode_outer(F.coalesce(found, none)).alias("x")).where("x.fault IS NOT NULL").select(*others, "x.*")
 
 
 def site_violations(rows: DataFrame, body: str = "body") -> DataFrame:
@@ -62,7 +72,7 @@ def site_violations(rows: DataFrame, body: str = "body") -> DataFrame:
     others = [c for c in rows.columns if c != body]
     d = rows.withColumn("_v", F.try_parse_json(F.col(body)))
     v = F.col("_v")
-    thing = F.coalesce(_kind(v, "$").startswith("OBJECT"), F.lit(False))
+    thing = _is_object(v)
     flag = F.coalesce(_kind(v, "$.match_enabled") == "BOOLEAN", F.lit(False))
     own = [_fault(~thing, "site", "", "not_an_object"), _fault(thing & ~flag, "site", "match_enabled", "not_a_boolean"), *[_fault(thing & _no_list(v, k), "site", k, "not_a_list") for k in SITE_LISTS]]
     return d.select(*others, F.explode(F.array_compact(F.array(*own))).alias("x")).select(*others, "x.*")
