@@ -72,3 +72,16 @@ def test_query(spark, tmp_path):
 def test_no_rows(spark):
     out = encode_pieces(spark.createDataFrame([], "ids string, text string"), model_path(), id_col="ids")
     assert out.columns[1:] == ["ids", "starts", "ends"] and not out.collect()
+
+
+def test_new_words_of_many_texts_are_learnt_at_once():
+    """One call of the library for all texts handed over, and the same pieces as one by one, also past the room."""
+    e, calls = PieceEncoder(model_path(), room=50), []
+    learn = e.learn
+    e.learn = lambda words: (calls.append(len(words)), learn(words))
+    texts = [*TEXTS, None, *[f"w{i} x{i % 7}\ny{i}" for i in range(60)]]
+    alone = PieceEncoder(model_path(), room=50)
+    for got, text in zip(e.encode_all(texts), texts, strict=True):
+        assert [x.tolist() for x in got] == [x.tolist() for x in alone.encode(text)]
+    assert len(calls) == 1
+    assert e.decode_all([x[0] for x in e.encode_all(texts)]) == [e.decode(alone.encode(t)[0]) for t in texts]

@@ -160,32 +160,56 @@ class PieceEncoder:
             self.known[w] = both[at:end]
             at = end
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, start, end) of every piece; start and end are bytes of the original text, end exclusive."""
-        text = text or ""
+    def words(self, text: str) -> list[str] | None:
+        """The words that a text falls into; None where it is encoded as a whole."""
         spread = text.replace("\n", " \n")
         if not text or not self.by_words or SPACE in text or "  " in spread or spread[0] == " " or spread[-1] == " ":
-            raw, source = self.normalizer.normalize(text)
-            ids = np.array(self.model.encode(raw.decode()), np.int64)
-            ends = np.cumsum(self.lengths(ids))
-            return ids.astype(np.int32), source[np.concatenate(([0], ends[:-1]))] if len(ids) else ids.astype(np.int32), source[ends]
-        words = spread.split(" ")
-        found = list(map(self.known.get, words))
-        if None in found:
-            new = {w for w, x in zip(words, found, strict=True) if x is None}
-            if len(self.known) + len(new) > self.room:
-                self.known, self.before = {}, self.known
-                new = set(words)
-            self.known |= {w: x for w in new if (x := self.before.get(w)) is not None}
-            self.learn([w for w in new if w not in self.known])
-            found = list(map(self.known.get, words))
-        both = np.frombuffer(b"".join(found), "<i4").reshape(-1, 2)
+            return None
+        return spread.split(" ")
+
+    def know(self, texts: list[list[str]]) -> None:
+        """Remembers all words of some texts, those that are new by one call of the library, as each has its fixed price."""
+        every = set(chain.from_iterable(texts))
+        new = every.difference(self.known)
+        if not new:
+            return
+        if len(self.known) + len(new) > self.room:
+            self.known, self.before = {}, self.known
+            new = every
+        self.known |= {w: x for w in new if (x := self.before.get(w)) is not None}
+        if new := [w for w in new if w not in self.known]:
+            self.learn(new)
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, end) of every piece; start and end are bytes of the original text, end exclusive."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``encode`` of each text."""
+        texts = [t or "" for t in texts]
+        words = [self.words(t) for t in texts]
+        self.know([w for w in words if w is not None])
+        return [self._whole(t) if w is None else self._joined(w) for t, w in zip(texts, words, strict=True)]
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw, source = self.normalizer.normalize(text)
+        ids = np.array(self.model.encode(raw.decode()), np.int64)
+        ends = np.cumsum(self.lengths(ids))
+        return ids.astype(np.int32), source[np.concatenate(([0], ends[:-1]))] if len(ids) else ids.astype(np.int32), source[ends]
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        both = np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<i4").reshape(-1, 2)
         ends = np.cumsum(both[:, 1], dtype=np.int32) - 1  # the mark before the text stands for nothing
         return both[:, 0], np.concatenate((np.zeros(1, np.int32), ends[:-1])), ends
 
     def decode(self, ids: np.ndarray | None) -> str:
         return self.whole.decode(ids.tolist()) if ids is not None and len(ids) else ""
 
+    def decode_all(self, ids: list[np.ndarray]) -> list[str]:
+        """``decode`` of each, by one call of the library."""
+        found = iter(self.whole.decode([x.tolist() for x in ids if len(x)], num_threads=1) if any(map(len, ids)) else ())
+        return [next(found) if len(x) else "" for x in ids]
+
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -205,22 +229,23 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     nothing; of a character that is spelled in byte pieces, the last has all bytes. With ``decoded`` there is a column
     of that name, what the library's decode makes of the ids (``decode_pieces`` does it for stored ids). Null and empty texts have no
     pieces; repeated rows come out each; null ids stay null; no rows give no rows; other columns go. No shuffle: a task
-    holds the pieces of about ``flush`` tokens, or of one text where that is longer.
+    holds the pieces of texts of about ``flush`` characters, or of one text where that is longer.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(model)
         for part in parts:
-            rows, held, begun = [], 0, 0
-            for i, text in enumerate(part["text"]):
-                row = encoder.encode(text)
-                held += len(row[0])
-                rows.append((*row, encoder.decode(row[0])) if decoded else row)
-                if held >= flush or i + 1 == len(part):
-                    out = pd.DataFrame(rows, columns=["ids", "starts", "ends", "decoded"][: len(rows[0])])
+            texts, held, begun = part["text"].tolist(), 0, 0
+            for i, text in enumerate(texts):
+                held += len(text or "")
+                if held >= flush or i + 1 == len(texts):
+                    rows = encoder.encode_all(texts[begun : i + 1])
+                    out = pd.DataFrame(rows, columns=["ids", "starts", "ends"])
+                    if decoded:
+                        out["decoded"] = encoder.decode_all([r[0] for r in rows])
                     out.insert(0, "name", part["name"].iloc[begun : i + 1].to_numpy())
                     yield out
-                    rows, held, begun = [], 0, i + 1
+                    held, begun = 0, i + 1
 
     d = docs.select(F.col(id_col).alias("name"), F.col(text_col).cast("string").alias("text"))
     schema = f"name {d.schema['name'].dataType.simpleString()}, {ENCODED}" + (", decoded string" if decoded else "")
