@@ -49,3 +49,11 @@ def test_device_rows_are_judged_by_casts(spark):
     assert at(6) == [(f"visit {n}", "gid", "missing") for n in range(4)]
     assert at(7) == [("device", DEVICE_LISTS[0], "not_a_list"), ("device", "task_refs", "not_a_list")]
     assert "schemaOfVariant" not in plan(d)
+
+
+def test_readings_are_judged_once_and_stay(spark):
+    """Few labels travel to the readings, and no list of faults is worked out for its size first."""
+    from visitgraph.plans.review import rejection_stats
+
+    p = plan(rejection_stats(spark, DATA))
+    assert "SortMergeJoin" not in p and "(size(" not in p and p.count("BroadcastHashJoin") == 3

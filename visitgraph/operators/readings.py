@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from visitgraph.functions import models as M
 from visitgraph.functions import text as X
+from visitgraph.operators.tables import settled
 
 NOTHING = ("", "null", "none", "n/a")
 
@@ -32,26 +33,35 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
     arrays of texts: serials, phones, assets, work_orders; and the date reference_day. Words for nothing count as null.
     A list keeps its first ``most`` values and says so. What fails its check is emptied, never mended: readings keep
     only what can be evidence. ``codes`` (code) are short site codes that an index has taught: text for cross-checks, still
-    told as unconfirmed. Added: visual_serials (serial-like tokens, valid or not), product, service_date.
+    told as unconfirmed. Added: visual_serials (serial-like tokens, valid or not), product, service_date. Models, sites and
+    dates are judged once a distinct text; ``raw`` is read once for each of these and once more: settle it first.
     """
     said = lambda c: F.when(~F.lower(F.trim(c)).isin(*NOTHING), F.trim(c))
     texts = ("order_no", "product_raw", "hospital_raw", "contact_person_raw", "department_room_raw", "service_date_raw", "date_source")
     lists = ("serials", "phones", "assets", "work_orders")
     clean = lambda c: F.array_distinct(F.array_compact(F.transform(F.coalesce(F.col(c), F.expr(X.NO_STRINGS)), said)))
     d = raw.withColumns({**{c: said(F.col(c)) for c in texts}, **{f"_over_{c}": F.size(F.coalesce(F.col(c), F.expr(X.NO_STRINGS))) > most for c in lists}, **{c: F.slice(clean(c), 1, most) for c in lists}})
-    labels = d.select("product_raw").where("product_raw IS NOT NULL").distinct().withColumn("_model", X.model(F.col("product_raw")))
-    d = d.join(labels, "product_raw", "left")
+    labels = {
+        "product_raw": lambda c: {"_model": X.model(c)},
+        "hospital_raw": lambda c: {"_core": site_core(c), "_placed": plausible_site(c), "_unsited": X.site(c).isNull()},
+        "service_date_raw": lambda c: {"_day": X.action_date(c)},
+    }
+    for name, judged in labels.items():
+        # written, so that few labels are known to be few and travel to the readings, which stay where they are
+        few = settled(d.select(name).where(F.col(name).isNotNull()).distinct().withColumns(judged(F.col(name))))
+        d = d.join(few, name, "left")
     if codes is None:
         d = d.withColumn("_taught", F.lit(False))
     else:
         taught = codes.select(F.col("code").alias("_core"), F.lit(True).alias("_taught")).distinct()
-        d = d.withColumn("_core", site_core(F.col("hospital_raw"))).join(taught, "_core", "left").drop("_core").withColumn("_taught", F.coalesce("_taught", F.lit(False)))
-    order, day = X.digits(F.col("order_no")), X.action_date(F.col("service_date_raw"))
+        d = d.join(taught, "_core", "left").withColumn("_taught", F.coalesce("_taught", F.lit(False)))
+    d = d.drop("_core")
+    order, day = X.digits(F.col("order_no")), F.col("_day")
     contact = F.regexp_replace(F.regexp_replace(F.col("contact_person_raw"), r"\s+", " "), r"^[ ,;/#_-]+|[ ,;/#_-]+$", "")
     phone = lambda a: F.transform(a, lambda x: X._local(X.digits(x)))
     numbers = F.transform(F.concat("assets", X.sheet_assets(F.col("department_room_raw"))), X.digits)
     other_date = F.col("date_source").isNotNull() & (F.regexp_replace(F.upper("date_source"), "[^A-Z]", "") != "ACTIONDATE")
-    d = d.withColumns({"_order": order, "_day": day, "_contact": contact, "_phones": phone(F.col("phones")), "_numbers": numbers, "_age": F.datediff("reference_day", day), "_other": F.coalesce(other_date, F.lit(False))})
+    d = d.withColumns({"_order": order, "_contact": contact, "_phones": phone(F.col("phones")), "_numbers": numbers, "_age": F.datediff("reference_day", day), "_other": F.coalesce(other_date, F.lit(False))})
     known = F.coalesce(F.col("_model").isin(*sorted(set(M.BY_KEY.values()))), F.lit(False))
     inside = F.coalesce(F.col("_age").between(-ahead, oldest), F.lit(False))
     bad_date = F.when(F.col("service_date_raw").isNull(), None).when(F.col("_other"), "not_action_date").when(F.col("_age").isNull(), "invalid_date_format").when(~inside, "date_outside_window")
@@ -61,7 +71,7 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
         ("order_no", F.when(has("order_no") & ~F.col("_order").rlike(r"^[56]\d{7}$"), "invalid_order_format")),
         ("serials", F.when(F.exists("serials", lambda x: ~X.valid_serial(x)), "invalid_serial_format")),
         ("product_raw", F.when(has("product_raw") & ~known, "unconfirmed_product")),
-        ("hospital_raw", F.when(has("hospital_raw") & ~(plausible_site(F.col("hospital_raw")) | F.col("_taught")), "unconfirmed_hospital_or_wrong_field").when(has("hospital_raw") & X.site(F.col("hospital_raw")).isNull(), "unconfirmed_short_code")),
+        ("hospital_raw", F.when(has("hospital_raw") & ~(F.col("_placed") | F.col("_taught")), "unconfirmed_hospital_or_wrong_field").when(has("hospital_raw") & F.col("_unsited"), "unconfirmed_short_code")),
         ("contact_person_raw", F.when(has("contact_person_raw") & (F.length(F.regexp_replace("_contact", r"[^\p{L}]", "")) < 2), "contact_without_name")),
         ("phones", F.when(F.exists("_phones", lambda x: F.length(x) != 8), "invalid_phone_length")),
         ("assets", F.when(F.exists("_numbers", lambda x: F.length(x) < 4), "invalid_asset_length")),
@@ -70,14 +80,14 @@ def normalise_readings(raw: DataFrame, most: int = 3, oldest: int = 93, ahead: i
     ]
     found = F.array(*[F.when(r.isNotNull(), F.struct(F.lit(f).alias("field"), r.alias("reason"))) for f, r in faults])
     d = d.withColumn("rejections", F.array_compact(found))
-    good_site = plausible_site(F.col("hospital_raw")) | F.col("_taught")
+    good_site = F.col("_placed") | F.col("_taught")
     tokens = F.array_compact(F.transform("serials", X.visible_serial))
     d = d.withColumns({"product": F.when(known, F.col("_model")), "visual_serials": F.slice(F.array_distinct(tokens), 1, most), "service_date": F.when(bad_date.isNull(), F.col("_day"))})
     d = d.withColumns({
         "order_no": F.when(F.col("_order").rlike(r"^[56]\d{7}$"), F.col("_order")), "serials": F.filter("serials", X.valid_serial), "product_raw": F.when(known, F.col("product_raw")), "hospital_raw": F.when(good_site, F.col("hospital_raw")),
         "contact_person_raw": F.when(F.length(F.regexp_replace("_contact", r"[^\p{L}]", "")) >= 2, F.col("_contact")), "phones": F.array_distinct(F.filter("_phones", lambda x: F.length(x) == 8)),
         "assets": F.slice(F.array_distinct(F.filter("_numbers", lambda x: F.length(x) >= 4)), 1, most), "work_orders": F.filter("work_orders", lambda x: F.length(X.digits(x)) >= 6), "date_source": F.when(F.col("service_date").isNotNull(), "ACTION_DATE")})
-    return d.drop("_model", "_taught", "_order", "_day", "_contact", "_phones", "_numbers", "_age", "_other", *[f"_over_{c}" for c in lists])
+    return d.drop("_model", "_placed", "_unsited", "_taught", "_order", "_day", "_contact", "_phones", "_numbers", "_age", "_other", *[f"_over_{c}" for c in lists])
 
 
 def repair_references(refs: DataFrame, least: int = 2) -> DataFrame:

@@ -46,7 +46,7 @@ RAW = {
 
 
 def raw_readings(spark, sf_dir):
-    d = readings(spark, sf_dir).withColumn("k", F.col("doc_id").cast("bigint")).withColumns({n: F.expr(e) for n, e in RAW.items()})
+    d = settled(readings(spark, sf_dir)).withColumn("k", F.col("doc_id").cast("bigint")).withColumns({n: F.expr(e) for n, e in RAW.items()})
     c = F.col
     return d.select("doc_id", "round", "reference_day", c("order_raw").alias("order_no"), F.array("serial", "serial_2").alias("serials"), "product_raw", c("site_1").alias("hospital_raw"), c("contact_1").alias("contact_person_raw"), F.array("asset_1").alias("assets"), c("room_1").alias("department_room_raw"), F.array("work_1").alias("work_orders"), c("date_1").alias("service_date_raw"), c("source_1").alias("date_source"), F.when(c("k") % 37 == 0, F.array(*["phone_1"] * 4)).otherwise(F.array("phone_1")).alias("phones"))
 
@@ -88,7 +88,9 @@ def taught_site_readings(spark, sf_dir):
 @query(_NORMALISED + " SELECT split_part(x, ':', 1) AS field, split_part(x, ':', 2) AS reason, count(*) AS n FROM (SELECT unnest(rejections) AS x FROM faults) GROUP BY ALL")
 def rejection_stats(spark, sf_dir):
     n = R.normalise_readings(raw_readings(spark, sf_dir))
-    return n.select(F.explode("rejections").alias("x")).groupBy("x.field", "x.reason").agg(F.count("*").alias("n"))
+    # outer, and the empty rows dropped after: a plain explode asks for the size of its list in a filter, which works it out again
+    each = n.select(F.explode_outer("rejections").alias("x")).where("x.field IS NOT NULL")
+    return each.groupBy("x.field", "x.reason").agg(F.count("*").alias("n"))
 
 
 @query(DUCK + ", ".join([f"SELECT doc_id, round, concat_ws(';', " + ", ".join(f"CASE WHEN {c} <> '' THEN '{c}' END" for c in ("serial", "product_raw", "hospital_raw", "phone", "asset", "contact_person_raw", "order_no", "service_date_raw")) + ") AS filled FROM readings"]))
