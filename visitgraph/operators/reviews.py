@@ -64,12 +64,12 @@ def neutral_names(ask: DataFrame, serials: DataFrame, facts: DataFrame, labels:
 def confirm_references(pairs: DataFrame, orders: DataFrame, uncertain: DataFrame, own: DataFrame) -> DataFrame:
     """(doc_id, gid, reference): uncertain work orders that a company order and the whole identity confirm.
 
-    ``pairs`` are assessed (document, record) pairs; ``orders`` (doc_id, order) the one order that closer readings
+    ``pairs`` are assessed (document, record) pairs, ``sure`` where serial and phone repeat and the date is one; ``orders`` (doc_id, order) the one order that closer readings
     repeat; ``uncertain`` (doc_id, uncertain) the eight-digit reference that repeated readings lack a digit of; ``own``
     (gid, references) what records bear. All must meet: the record's order, its reference, an equal serial read twice,
     model, site, a repeated phone, and a single date. Documents without any of these give no row.
     """
     d = pairs.join(orders, "doc_id").join(uncertain.where("uncertain IS NOT NULL"), "doc_id").join(own, "gid")
     same = (F.col("order_no") == F.col("order")) & F.array_contains("references", F.col("uncertain"))
-    sure = (F.col("distance") == 0) & F.array_contains("two_serial", F.col("serial")) & F.col("has_model") & F.col("has_site") & F.arrays_overlap("two_phone", "phones") & (F.size("two_date") == 1)
-    return d.where(same & sure).select("doc_id", "gid", F.col("uncertain").alias("reference"))
+    whole = (F.col("distance") == 0) & F.col("has_model") & F.col("has_site") & F.col("sure")
+    return d.where(same & whole).select("doc_id", "gid", F.col("uncertain").alias("reference"))

@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from visitgraph.functions import reviews as W
+from visitgraph.operators import devices as V
+from visitgraph.operators import gathered as G
 from visitgraph.operators import reviews as P
-from visitgraph.operators.decisions import evidence_row
-from visitgraph.operators.evidence import scalar_consensus
 from visitgraph.operators.readings import repair_references
-from visitgraph.operators.tables import settled
-from visitgraph.plans.devices import RANKED, asked
-from visitgraph.plans.matching import LINKED, assessed
+from visitgraph.plans.devices import RANKED
+from visitgraph.plans.matching import LINKED, assessed, linked
 from visitgraph.plans.review import _REFS
-from visitgraph.sources.fixtures import DUCK, PREFIX, TABLES
+from visitgraph.sources.fixtures import DUCK, PREFIX, TABLES, gathered_rows
 
 QUERIES, SQL = {}, {}
 #: The same readings of work orders, uncertain for orders that have a number of their own.
@@ -90,12 +89,14 @@ tied_ AS (SELECT a.doc_id, f.serial, bool_or(list_contains(w_models, f.model) AN
 SELECT doc_id, serial AS device_key, visits, concat_ws(' - ', regexp_replace(hospital, '^[ ._-]+|[ ._-]+$', '', 'g'), product, serial) AS name FROM tied_ JOIN raw_ USING (doc_id) WHERE sure AND visits >= 2""")
 def neutral_device_name(spark, sf_dir):
     """Documents of a certain device with several visits that nothing tells apart."""
-    link, ask, devices = asked(spark, sf_dir)
-    c = settled(scalar_consensus(link.keys))
-    of = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))
-    labels = c.groupBy("doc_id").agg(of("hospital_raw").alias("hospital"), of("product_raw").alias("product"))
-    out = P.neutral_names(ask, evidence_row(link.readings, link.keys).select("doc_id", "two_serial"), link.facts, labels)
-    return link.close(out, ask, devices, c)
+    link = linked(spark, sf_dir, retrieve=False)
+    ask = V.asks(link.evidence, link.types())
+    # the first text of the one key that repeats; a document's texts are in its own row
+    raw = gathered_rows(link.orders).select("doc_id", "hospital_raw", "product_raw")
+    raw = raw.join(link.labels, (F.col("hospital_raw") == F.col("_h")) & (F.col("product_raw") == F.col("_p")))
+    labels = raw.select("doc_id", G.agreed(F.col("_h"), F.col("_hospital_raw")).alias("hospital"), G.agreed(F.col("_p"), F.col("_product_raw")).alias("product"))
+    out = P.neutral_names(ask, link.evidence.select("doc_id", "two_serial"), link.facts, labels)
+    return link.close(out)
 
 
 @query(LINKED + f""",
@@ -108,9 +109,11 @@ SELECT a.doc_id, a.gid, u.uncertain AS reference FROM assessed a JOIN focus_ o O
  WHERE a.order_no = o.ord AND u.uncertain = concat('HAWO', lpad(a.gid, 8, '1')) AND distance = 0 AND list_contains(two_serial, serial) AND has_model AND has_site AND list_contains(two_phone, phone) AND len(two_date) = 1""")
 def reference_confirmation(spark, sf_dir):
     """Uncertain references of all documents, against the records that bear them."""
-    link, evidence, pairs = assessed(spark, sf_dir)
-    refs = link.readings.withColumn("k", F.col("doc_id").cast("bigint")).select("doc_id", "round", F.expr(_SEEN).alias("key"), (F.col("round") >= 3).alias("focused")).where("key IS NOT NULL")
+    link, pairs = assessed(spark, sf_dir)
+    read = gathered_rows(link.orders).select("doc_id", F.explode("round").alias("round"))
+    refs = read.withColumn("k", F.col("doc_id").cast("bigint")).select("doc_id", "round", F.expr(_SEEN).alias("key"), (F.col("round") >= 3).alias("focused")).where("key IS NOT NULL")
     uncertain = repair_references(refs).select("doc_id", "uncertain")
-    orders = link.keys.where("field = 'order_no'").groupBy("doc_id").agg(F.min("key").alias("order"), F.count_distinct("key").alias("n"), F.count_distinct(F.when(F.col("round") >= 3, F.col("round"))).alias("close")).where("n = 1 AND close >= 2").select("doc_id", "order")
+    close = F.size(F.array_distinct(F.filter(F.col("order")["round"], lambda r: r >= 3)))
+    orders = link.rows.select("doc_id", F.array_distinct(F.col("order")["key"]).alias("keys"), close.alias("close")).where("size(keys) = 1 AND close >= 2").select("doc_id", F.col("keys")[0].alias("order"))
     own = link.facts.select("gid", F.array(F.concat(F.lit("HAWO"), F.lpad("gid", 8, "1"))).alias("references"))
-    return link.close(P.confirm_references(pairs, orders, uncertain, own), evidence, pairs)
+    return link.close(P.confirm_references(pairs, orders, uncertain, own), pairs)
